@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnloom.functions.text import locale_base
-from turnloom.operators.scale import HOT_KEY_ROWS, lookup_join, number_rows
+from turnloom.operators.scale import lookup_join, number_rows
 
 # What a response counts as when its metadata does not say.
 DEFAULT_PROVIDER = "openai"
@@ -28,17 +28,14 @@ def last_metadata(meta: DataFrame, order: str = "line_no", key: str = "custom_id
 
 
 def attach_metadata(
-    responses: DataFrame, meta: DataFrame, order: str = "line_no", how: str = "inner",
-    hot_rows: int = HOT_KEY_ROWS,
+    responses: DataFrame, meta: DataFrame, order: str = "line_no", how: str = "inner"
 ) -> DataFrame:
     """Responses with the metadata of the same id; of several rows the last one counts."""
     latest = last_metadata(meta, order).drop("first_line")
-    return lookup_join(responses, latest, "custom_id", how, hot_rows)
+    return lookup_join(responses, latest, "custom_id", how)
 
 
-def prefix_matches(
-    unmatched: DataFrame, meta: DataFrame, order: str = "line_no", hot_rows: int = HOT_KEY_ROWS
-) -> DataFrame:
+def prefix_matches(ids: DataFrame, meta: DataFrame, order: str = "line_no") -> DataFrame:
     """``custom_id`` → ``matched_id``: the first metadata id of which one is a prefix of the other.
 
     Works on distinct ids and on equal keys only. An id is a prefix of another one when
@@ -63,44 +60,48 @@ def prefix_matches(
     is_whole = first.select(
         F.col("id").alias("key"), F.struct("line", "id").alias("best"), F.lit("whole").alias("kind")
     )
-    ids = unmatched.select("custom_id").filter(F.length("custom_id") > 0).distinct()
-    wanted = ids.select(
-        "custom_id", F.col("custom_id").alias("key"), F.lit("prefix").alias("kind")
-    ).unionByName(
-        ids.select(
-            "custom_id", F.explode(prefixes("custom_id")).alias("key"), F.lit("whole").alias("kind")
-        )
-    )
-    found = lookup_join(
-        wanted, is_prefix.unionByName(is_whole), ["key", "kind"], "inner", hot_rows
+    ids = ids.select("custom_id").filter(F.length("custom_id") > 0).distinct()
+    itself = F.struct(F.col("custom_id").alias("key"), F.lit("prefix").alias("kind"))
+    shorter = F.transform(
+        prefixes("custom_id"), lambda p: F.struct(p.alias("key"), F.lit("whole").alias("kind"))
     )
+    wanted = ids.select("custom_id", F.inline(F.concat(F.array(itself), shorter)))
+    found = lookup_join(wanted, is_prefix.unionByName(is_whole), ["key", "kind"], "inner")
     return found.groupBy("custom_id").agg(F.min("best").alias("best")).select(
         "custom_id", F.col("best.id").alias("matched_id")
     )
 
 
-def attach_by_prefix(
-    responses: DataFrame, meta: DataFrame, order: str = "line_no", hot_rows: int = HOT_KEY_ROWS
-) -> DataFrame:
-    """Responses without metadata of their own id, with that of the first prefix match."""
+def _by_prefix(ids: DataFrame, meta: DataFrame, order: str) -> DataFrame:
+    """Metadata of the prefix match, one row per id that has no metadata of its own."""
     latest = last_metadata(meta, order).drop("first_line")
-    unmatched = lookup_join(
-        responses, latest.select("custom_id"), "custom_id", "left_anti", hot_rows
-    )
-    matches = prefix_matches(unmatched, meta, order, hot_rows)
-    named = lookup_join(unmatched, matches, "custom_id", "inner", hot_rows)
+    distinct = ids.select("custom_id").distinct()
+    unmatched = lookup_join(distinct, latest.select("custom_id"), "custom_id", "left_anti")
+    matches = prefix_matches(unmatched, meta, order)
     return lookup_join(
-        named, latest.withColumnRenamed("custom_id", "matched_id"), "matched_id", "inner", hot_rows
+        matches, latest.withColumnRenamed("custom_id", "matched_id"), "matched_id", "inner"
     )
 
 
+def attach_by_prefix(
+    responses: DataFrame, meta: DataFrame, order: str = "line_no"
+) -> DataFrame:
+    """Responses without metadata of their own id, with that of the first prefix match."""
+    return lookup_join(responses, _by_prefix(responses, meta, order), "custom_id", "inner")
+
+
 def attach_any(
-    responses: DataFrame, meta: DataFrame, order: str = "line_no", hot_rows: int = HOT_KEY_ROWS
+    responses: DataFrame, meta: DataFrame, order: str = "line_no", ids: DataFrame | None = None
 ) -> DataFrame:
-    """``attach_metadata``, and ``attach_by_prefix`` for the rest; others are dropped."""
-    exact = attach_metadata(responses, meta, order, "inner", hot_rows)
-    rest = attach_by_prefix(responses, meta, order, hot_rows)
-    return exact.withColumn("matched_id", F.col("custom_id")).unionByName(rest)
+    """``attach_metadata``, and ``attach_by_prefix`` for the rest; others are dropped.
+
+    Which metadata an id gets is settled on ids alone (``ids``, where they can be had at
+    less cost than the responses), so the responses themselves move once.
+    """
+    own = last_metadata(meta, order).drop("first_line")
+    own = own.withColumn("matched_id", F.col("custom_id"))
+    other = _by_prefix(responses if ids is None else ids, meta, order)
+    return lookup_join(responses, own.unionByName(other), "custom_id", "inner")
 
 
 def coalesce_metadata(df: DataFrame) -> DataFrame:
@@ -130,29 +131,25 @@ def _has(df: DataFrame, path: str) -> bool:
     return True
 
 
-def missing(all_: DataFrame, have: DataFrame, on: str | Sequence[str],
-            hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def missing(all_: DataFrame, have: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows of ``all_`` whose key is not in ``have``."""
     keys = [on] if isinstance(on, str) else list(on)
-    return lookup_join(all_, have.select(*keys).distinct(), keys, "left_anti", hot_rows)
+    return lookup_join(all_, have.select(*keys).distinct(), keys, "left_anti")
 
 
-def available(a: DataFrame, b: DataFrame, on: str | Sequence[str],
-              hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def available(a: DataFrame, b: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows of ``a`` whose key is also in ``b``."""
     keys = [on] if isinstance(on, str) else list(on)
-    return lookup_join(a, b.select(*keys).distinct(), keys, "left_semi", hot_rows)
+    return lookup_join(a, b.select(*keys).distinct(), keys, "left_semi")
 
 
-def pending(work: DataFrame, done: DataFrame, on: str | Sequence[str],
-            hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def pending(work: DataFrame, done: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """The work that has no output yet."""
-    return missing(work, done, on, hot_rows)
+    return missing(work, done, on)
 
 
 def resolve_resource(
-    langs: DataFrame, resources: DataFrame, value: str, default: str = "en",
-    hot_rows: int = HOT_KEY_ROWS,
+    langs: DataFrame, resources: DataFrame, value: str, default: str = "en"
 ) -> DataFrame:
     """The resource of the locale, else of its base language, else of ``default``.
 
@@ -164,7 +161,7 @@ def resolve_resource(
             F.col("lang_code").alias(key),
             F.struct(F.lit(True).alias("hit"), F.col(value).alias("value")).alias(f"_r{step}"),
         )
-        found = lookup_join(found, side, key, "left", hot_rows)
+        found = lookup_join(found, side, key, "left")
     hits = F.coalesce("_r0", "_r1", "_r2")
     return found.select(*langs.columns, hits["value"].alias(value))
 

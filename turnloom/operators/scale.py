@@ -1,7 +1,7 @@
 """Three building blocks that keep the other operators safe at any size.
 
-* ``lookup_join`` joins rows to a table with one row per key without sending a hot key
-  to one task;
+* ``lookup_join`` joins rows to a table with one row per key so that a hot key can be
+  split over many tasks;
 * ``number_rows`` gives dense row numbers in a given order without a one-task window;
 * ``hash_order`` and ``hash_cutoff`` give a reproducible random order and the exact
   value below which the first ``n`` rows of it lie.
@@ -11,15 +11,10 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A key with this many rows would hold its join task up; below it a shuffle is fine.
-HOT_KEY_ROWS = 1_000_000
-# At most this many keys are taken out of the shuffle join and broadcast.
-MAX_HOT_KEYS = 1_000
 # Tables counted to be at most this long may be broadcast.
 BROADCAST_ROWS = 100_000
 # Buckets of the hash order, one hex digit each: 16 ** 4.
@@ -51,41 +46,23 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(cores, *keys)
 
 
-def hot_keys(
-    df: DataFrame, keys: Sequence[str], rows: int = HOT_KEY_ROWS, limit: int = MAX_HOT_KEYS
-) -> DataFrame:
-    """The keys with at least ``rows`` rows: ``limit`` at most, the largest first."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    return counts.filter(F.col("_rows") >= rows).orderBy(F.desc("_rows")).limit(limit).select(*keys)
-
-
 def lookup_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: str | Sequence[str],
-    how: str = "left",
-    hot_rows: int = HOT_KEY_ROWS,
+    left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "left"
 ) -> DataFrame:
     """Join ``left`` to ``right``, which has at most one row per key.
 
-    ``how`` is inner, left, left_semi or left_anti. Rows of the few keys that are hot in
-    ``left`` never reach the shuffle: their ``right`` rows, at most ``MAX_HOT_KEYS``, are
-    broadcast. All other rows take Spark's own choice of join. Rows with a null key match
-    nothing and take no part in either. With no hot key, adaptive execution finds the
-    broadcast empty and drops that branch.
+    ``how`` is inner, left, left_semi or left_anti. Adaptive execution splits the part of
+    ``left`` that a hot key (or null) makes too large, but only where both sides enter the
+    join through an exchange of the join's own. ``right`` often comes out of an aggregate
+    on the same key and would have none, so a hash of the key is a second join key.
     """
     on = [on] if isinstance(on, str) else list(on)
-    usable = reduce(Column.__and__, [F.col(k).isNotNull() for k in on])
-    keyed = left.filter(usable)
-    hot = F.broadcast(hot_keys(keyed, on, hot_rows))
-    right = right.filter(usable)
-    cold_part = keyed.join(hot, on, "left_anti").join(right, on, how)
-    hot_right = F.broadcast(right.join(hot, on, "left_semi"))
-    hot_part = keyed.join(hot, on, "left_semi").join(hot_right, on, how)
-    joined = cold_part.unionByName(hot_part)
-    if how in ("left", "left_anti"):
-        joined = joined.unionByName(left.filter(~usable), allowMissingColumns=True)
-    return joined
+    tag = F.xxhash64(*on)
+    return (
+        left.withColumn("_key_hash", tag)
+        .join(right.withColumn("_key_hash", tag), [*on, "_key_hash"], how)
+        .drop("_key_hash")
+    )
 
 
 def number_rows(
@@ -114,17 +91,17 @@ def number_rows(
     before = Window.partitionBy(*by).orderBy("_part").rowsBetween(
         Window.unboundedPreceding, -1
     )
+    group = {c: f"_by{i}" for i, c in enumerate(by)}
     offsets = parts.select(
-        "_part", *by, "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
-    )
-    same = reduce(
-        Column.__and__,
-        [placed[c].eqNullSafe(offsets[c]) for c in by],
-        placed["_part"] == offsets["_part"],
+        F.col("_part").alias("_of_part"),
+        *[F.col(c).alias(alias) for c, alias in group.items()],
+        "_first",
+        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"),
     )
-    number = offsets["_offset"] + (placed["_place"] - offsets["_first"]) + F.lit(start)
-    return placed.join(offsets, same, "inner").select(
-        *[placed[c] for c in df.columns], number.alias(name)
+    same = [F.col(c).eqNullSafe(F.col(alias)) for c, alias in group.items()]
+    number = F.col("_offset") + (F.col("_place") - F.col("_first")) + F.lit(start)
+    return placed.join(offsets, [F.col("_part") == F.col("_of_part"), *same], "inner").select(
+        *df.columns, number.alias(name)
     )
 
 

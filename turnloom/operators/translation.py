@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from turnloom.functions.response import body_content
 from turnloom.functions.text import numbered_lines, parse_custom_id
-from turnloom.operators.scale import HOT_KEY_ROWS, lookup_join, number_by_hash
+from turnloom.operators.scale import lookup_join, number_by_hash
 
 # The request text around the numbered strings.
 SYSTEM_TEXT = "You are a professional translator."
@@ -145,9 +145,7 @@ def index_lookup(
     return strings.join(indexed, ["field", "idx"]).select("field", "original", "translation")
 
 
-def translate_columns(
-    entries: DataFrame, lookup: DataFrame, cols: Sequence[str], hot_rows: int = HOT_KEY_ROWS
-) -> DataFrame:
+def translate_columns(entries: DataFrame, lookup: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Replace each column by its translation where there is one; add ``{col}_found``.
 
     ``lookup`` has one ``translation`` per ``(field, original)``.
@@ -158,7 +156,7 @@ def translate_columns(
             F.col("original").alias(c), F.col("translation").alias("_translation")
         )
         out = (
-            lookup_join(out, side, c, "left", hot_rows)
+            lookup_join(out, side, c, "left")
             .withColumn(f"{c}_found", F.col("_translation").isNotNull())
             .withColumn(c, F.coalesce("_translation", c))
             .drop("_translation")

@@ -27,7 +27,6 @@ from turnloom.functions.text import (
 from turnloom.operators.filters import fill_intended, strip_partner_intended
 from turnloom.operators.joins import attach_any, coalesce_metadata
 from turnloom.operators.sampling import bounded_rows, draw, sample_requests, split_exact
-from turnloom.operators.scale import HOT_KEY_ROWS
 from turnloom.operators.stats import corpus_stats, coverage, format_stats, with_total
 from turnloom.operators.translation import (
     CHUNK_STRINGS,
@@ -147,7 +146,7 @@ def read_responses(lines: DataFrame, line: str = "value") -> DataFrame:
 
     A row that cannot be used keeps its whole content and says why; no row fails the job.
     """
-    others = [c for c in lines.columns if c != line]
+    others = [c for c in lines.columns if c not in (line, "id", "custom_id")]
     parsed = lines.withColumn("_v", F.try_parse_json(line))
     body = parsed.select(
         *others,
@@ -193,19 +192,20 @@ def read_responses(lines: DataFrame, line: str = "value") -> DataFrame:
 
 
 def process_responses(
-    lines: DataFrame, meta: DataFrame, order: str = "line_no", hot_rows: int = HOT_KEY_ROWS
+    lines: DataFrame, meta: DataFrame, order: str = "line_no", line: str = "value"
 ) -> tuple[DataFrame, DataFrame]:
     """Stored conversations with their metadata, and the rejected rows.
 
     Metadata comes from the same id, else from the first id of which one is a prefix of
     the other; a conversation without any is dropped.
     """
-    rows = read_responses(lines)
+    rows = read_responses(lines, line)
     rejects = rows.filter(F.col("status") == "error").select("id", "custom_id", "error", "content")
     good = rows.filter(F.col("status") != "error").drop("error", "content")
     known = [c for c in meta.columns if c not in ("custom_id", order)]
     own = meta.select("custom_id", order, *[F.col(c).alias(f"meta_{c}") for c in known])
-    joined = attach_any(good, own, order, hot_rows)
+    ids = lines.select(F.get_json_object(line, "$.custom_id").alias("custom_id"))
+    joined = attach_any(good, own, order, ids.filter(F.length("custom_id") > 0))
     carried = joined.withColumn("metadata", F.struct(*[F.col(f"meta_{c}").alias(c) for c in known]))
     stored = coalesce_metadata(carried).drop(*[f"meta_{c}" for c in known])
     return strip_partner_intended(fill_intended(stored)), rejects
@@ -223,12 +223,11 @@ def translation_round_trip(
     cols: Sequence[str],
     responses: DataFrame,
     size: int = CHUNK_STRINGS,
-    hot_rows: int = HOT_KEY_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
     """Return side: entries with translated columns, and the coverage per column."""
     strings = unique_strings(entries, cols)
     lookup = index_lookup(strings, read_batches(responses), size)
-    translated = translate_columns(entries, lookup, cols, hot_rows)
+    translated = translate_columns(entries, lookup, cols)
     return translated, coverage(translated, cols)
 
 
