@@ -24,18 +24,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from turnloom.functions.keyboard import Grid, adjacency_map, grid_keys, key_of
-from turnloom.functions.text import as_column
+from turnloom.functions.text import as_column, let
 
 PRIME = 2147483647
 INDEX_RANGE = 4294967296
 PIPELINE_KINDS = ("adjacent", "deletion", "insertion")
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and use it by name in ``body``."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def edit_count(n: Column, rate: float) -> Column:
     """How many characters of a text of length ``n`` get an edit."""
     wanted = F.greatest(F.lit(1), F.rint(F.lit(rate) * n).cast("int"))

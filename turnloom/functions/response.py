@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from turnloom.functions.text import as_column, unfence_json
+from turnloom.functions.text import as_column, let, unfence_json
 from turnloom.schemas import CONVERSATION
 
 
@@ -96,9 +96,14 @@ def repair_json(content: Column | str) -> Column:
     text = F.regexp_replace(text, r'(?<=[}\]])(\s*)(?=["{\[])', ",$1")
     text = F.regexp_replace(text, r'(?<![:,\[{]\s{0,9}")(?<=")(\s+)(?=["{\[])', ",$1")
     text = F.regexp_replace(text, r",(\s*[\]}])", "$1")
-    quotes = F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))
-    text = F.when(quotes % 2 == 1, F.concat(text, F.lit('"'))).otherwise(text)
-    return F.when(F.try_parse_json(text).isNotNull(), text)
+
+    def closed(text: Column) -> Column:
+        quotes = F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))
+        return F.when(quotes % 2 == 1, F.concat(text, F.lit('"'))).otherwise(text)
+
+    return let(
+        let(text, closed), lambda fixed: F.when(F.try_parse_json(fixed).isNotNull(), fixed)
+    )
 
 
 def clean_content(content: Column | str) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -58,6 +58,11 @@ def as_column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it by name in ``body``."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def literal_map(values: Mapping[str, str]) -> Column:
     return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
 

@@ -147,48 +147,51 @@ def read_responses(lines: DataFrame, line: str = "value") -> DataFrame:
     A row that cannot be used keeps its whole content and says why; no row fails the job.
     """
     others = [c for c in lines.columns if c not in (line, "id", "custom_id")]
-    parsed = lines.withColumn("_v", F.try_parse_json(line))
-    body = parsed.select(
-        *others,
-        line,
-        F.try_variant_get("_v", "$.id", "string").alias("id"),
-        F.try_variant_get("_v", "$.custom_id", "string").alias("custom_id"),
-        response_body("_v").alias("_body"),
+    envelope = _computed(
+        lines.select(*others, line, F.try_parse_json(line).alias("_v")),
+        id=F.try_variant_get("_v", "$.id", "string"),
+        custom_id=F.try_variant_get("_v", "$.custom_id", "string"),
+        _body=response_body("_v"),
     )
-    content = body.select(
-        *others,
-        line,
-        "id",
-        "custom_id",
-        F.try_variant_get("_body", "$.model", "string").alias("response_model"),
-        clean_content(body_content("_body")).alias("_content"),
+    content = _computed(
+        envelope.drop("_v"),
+        response_model=F.try_variant_get("_body", "$.model", "string"),
+        _content=clean_content(body_content("_body")),
     )
-    first = content.withColumn("_first", parse_conversation("_content"))
-    second = first.withColumn(
-        "_second", F.when(F.col("_first").isNull(), parse_conversation(repair_json("_content")))
+    plain = _computed(content.drop("_body"), _plain=parse_conversation("_content"))
+    repaired = F.when(F.col("_plain").isNull(), parse_conversation(repair_json("_content")))
+    rows = _computed(plain, _repaired=repaired)
+
+    named = F.length("custom_id") > 0
+    parsed = F.coalesce("_plain", "_repaired")
+    error = (
+        F.when(~F.coalesce(named, F.lit(False)), "missing custom_id")
+        .when(F.col("_content").isNull(), "no content")
+        .when(parsed.isNull(), "invalid JSON")
     )
-    usable = F.col("custom_id").isNotNull() & (F.col("custom_id") != "")
-    result = F.coalesce("_first", "_second")
     status = (
-        F.when(~usable | result.isNull(), "error")
-        .when(F.col("_first").isNotNull(), "ok")
+        F.when(F.col("error").isNotNull(), "error")
+        .when(F.col("_plain").isNotNull(), "ok")
         .otherwise("recovered")
     )
-    error = (
-        F.when(~F.coalesce(usable, F.lit(False)), "missing custom_id")
-        .when(F.col("_content").isNull(), "no content")
-        .when(result.isNull(), "invalid JSON")
+    return (
+        rows.withColumn("error", error)
+        .withColumn("status", status)
+        .withColumn("content", F.when(error.isNotNull(), F.coalesce("_content", line)))
+        .withColumn("_parsed", F.when(error.isNull(), parsed))
+        .select(
+            *others, "id", "custom_id", "response_model", "status", "error", "content", "_parsed.*"
+        )
     )
-    return second.select(
-        *others,
-        "id",
-        "custom_id",
-        "response_model",
-        F.coalesce(status, F.lit("error")).alias("status"),
-        error.alias("error"),
-        F.when(error.isNotNull(), F.coalesce("_content", line)).alias("content"),
-        F.when(error.isNull(), result).alias("_result"),
-    ).select("*", *[F.col("_result")[f].alias(f) for f in CONVERSATION.names]).drop("_result")
+
+
+def _computed(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add costly columns so that each is computed once per row.
+
+    As the output of a generator they are plain attributes to the optimizer, which would
+    otherwise copy their expressions into every filter and join condition above.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
 
 
 def process_responses(
