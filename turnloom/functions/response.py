@@ -21,6 +21,19 @@ def _variant(v: Column, path: str) -> Column:
     return F.try_variant_get(v, path, "variant")
 
 
+def strict_json(text: Column | str) -> Column:
+    """The text as a variant; null unless the whole of it is one JSON value.
+
+    Spark's parser stops after the first value. Inside brackets a trailing remainder is an
+    error unless it starts with ``]``, inside braces unless it starts with ``}``, so both
+    together leave no remainder.
+    """
+    text = as_column(text)
+    in_braces = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    in_brackets = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    return F.when(in_braces.isNotNull(), F.try_variant_get(in_brackets, "$[0]", "variant"))
+
+
 def response_format(v: Column | str) -> Column:
     """Which of the known envelope shapes a parsed response line has."""
     v = as_column(v)
@@ -43,10 +56,10 @@ def response_body(v: Column | str) -> Column:
     request_body = _variant(v, "$.body")
     body_text = F.when(F.schema_of_variant(request_body) == "STRING", request_body.cast("string"))
     return F.coalesce(
-        F.try_parse_json(as_text),
+        strict_json(as_text),
         F.when(as_text.isNull(), inner),
         F.when(_has(v, "$.choices"), v),
-        F.try_parse_json(body_text),
+        strict_json(body_text),
     )
 
 
@@ -78,8 +91,7 @@ def response_content(v: Column | str) -> Column:
 
 def parse_conversation(content: Column | str) -> Column:
     """The content as a conversation struct; null when it is not a JSON object."""
-    parsed = F.try_parse_json(as_column(content))
-    return F.try_variant_get(parsed, "$", CONVERSATION.simpleString())
+    return F.try_variant_get(strict_json(content), "$", CONVERSATION.simpleString())
 
 
 def repair_json(content: Column | str) -> Column:
@@ -102,7 +114,7 @@ def repair_json(content: Column | str) -> Column:
         return F.when(quotes % 2 == 1, F.concat(text, F.lit('"'))).otherwise(text)
 
     return let(
-        let(text, closed), lambda fixed: F.when(F.try_parse_json(fixed).isNotNull(), fixed)
+        let(text, closed), lambda fixed: F.when(strict_json(fixed).isNotNull(), fixed)
     )
 
 

@@ -17,6 +17,7 @@ from turnloom.functions.response import (
     parse_conversation,
     repair_json,
     response_body,
+    strict_json,
 )
 from turnloom.functions.text import (
     fully_corrected,
@@ -148,7 +149,7 @@ def read_responses(lines: DataFrame, line: str = "value") -> DataFrame:
     """
     others = [c for c in lines.columns if c not in (line, "id", "custom_id")]
     envelope = _computed(
-        lines.select(*others, line, F.try_parse_json(line).alias("_v")),
+        _computed(lines.select(*others, line), _v=strict_json(line)),
         id=F.try_variant_get("_v", "$.id", "string"),
         custom_id=F.try_variant_get("_v", "$.custom_id", "string"),
         _body=response_body("_v"),

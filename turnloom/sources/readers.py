@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from turnloom.functions.response import strict_json
 from turnloom.schemas import TRIPLE
 
 _BAD = "_corrupt"
@@ -22,24 +23,14 @@ def read_jsonl_tolerant(
     spark: SparkSession, path: str | list[str], schema: T.StructType
 ) -> tuple[DataFrame, DataFrame]:
     """Good rows, and the text of bad lines with their file; blank lines are skipped."""
-    with_bad = T.StructType([*schema.fields, T.StructField(_BAD, T.StringType())])
-    rows = (
-        spark.read.schema(with_bad)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _BAD)
-        .json(path)
-    )
-    good = rows.filter(F.col(_BAD).isNull()).drop(_BAD)
-    # Spark refuses to read the corrupt column alone, so whole lines are checked here.
     lines = spark.read.text(path).filter(F.trim("value") != "")
-    parsed = F.from_json(
-        "value", with_bad, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
+    parsed = lines.select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("value").alias("content"),
+        F.try_variant_get(strict_json("value"), "$", schema.simpleString()).alias("_row"),
     )
-    bad = lines.select(
-        F.col("_metadata.file_path").alias("path"), F.col("value").alias("content"),
-        parsed[_BAD].isNotNull().alias("_is_bad"),
-    ).filter("_is_bad").drop("_is_bad")
-    return good, bad
+    good = parsed.filter(F.col("_row").isNotNull()).select("_row.*")
+    return good, parsed.filter(F.col("_row").isNull()).select("path", "content")
 
 
 def _array_guard(lines: DataFrame) -> Column:
