@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from turnloom.functions.text import as_column, fill_blank, fill_people
+from turnloom.functions.text import as_column, fill_blank, fill_people, let
 
 # What each relation says about the two people.
 RELATION_PHRASES = {
@@ -83,28 +83,51 @@ def prompt_values(
     ``partner`` and the style keys). A style key is only present when it was picked.
     ``setting`` and ``relationship`` are never picked.
     """
-    user = _or(F.try_element_at(picks, F.lit("aac_user")), DEFAULT_USER)
-    partner = _or(F.try_element_at(picks, F.lit("partner")), DEFAULT_PARTNER)
-    topic = fill_blank(fill_people(_or(as_column(topic), DEFAULT_TOPIC), user, partner, lang), partner)
-    which = fill_blank(fill_people(_or(as_column(which), ""), user, partner, lang), partner)
-    relation = _or(as_column(relation), "")
-    phrase = relation_phrase(relation, user, partner)
+    topic, relation, which = as_column(topic), _or(as_column(relation), ""), as_column(which)
     role = F.lit(None).cast("string") if role is None else as_column(role)
-    values = {
-        "topic": topic,
-        "relationship": F.lit(DEFAULT_RELATIONSHIP),
-        "setting": F.lit(DEFAULT_SETTING),
-        "aac_user": user,
-        "partner": partner,
-        "which": which,
-        "relation": relation,
-        "relation_context": relation_context(phrase, which),
-        "aac_user_role": _or(role, DEFAULT_ROLE),
-        "atomic_context": situation_text(topic, which, phrase),
-        **{key: F.try_element_at(picks, F.lit(key)) for key in STYLE_KEYS},
-    }
-    pairs = [c for key, value in values.items() for c in (F.lit(key), value)]
-    return F.map_filter(F.create_map(*pairs), lambda _, value: value.isNotNull())
+
+    def pick(picks: Column, key: str) -> Column:
+        return F.try_element_at(picks, F.lit(key))
+
+    def with_people(row: Column) -> Column:
+        def told(text: Column) -> Column:
+            return fill_blank(fill_people(text, row["user"], row["partner"], lang), row["partner"])
+
+        texts = F.struct(
+            told(_or(topic, DEFAULT_TOPIC)).alias("topic"),
+            told(_or(which, "")).alias("which"),
+            relation_phrase(relation, row["user"], row["partner"]).alias("phrase"),
+        )
+        return let(texts, lambda texts: with_texts(row, texts))
+
+    def with_texts(row: Column, texts: Column) -> Column:
+        values = {
+            "topic": texts["topic"],
+            "relationship": F.lit(DEFAULT_RELATIONSHIP),
+            "setting": F.lit(DEFAULT_SETTING),
+            "aac_user": row["user"],
+            "partner": row["partner"],
+            "which": texts["which"],
+            "relation": relation,
+            "relation_context": relation_context(texts["phrase"], texts["which"]),
+            "aac_user_role": _or(role, DEFAULT_ROLE),
+            "atomic_context": situation_text(texts["topic"], texts["which"], texts["phrase"]),
+            **{key: pick(row["picks"], key) for key in STYLE_KEYS},
+        }
+        pairs = [c for key, value in values.items() for c in (F.lit(key), value)]
+        return F.map_filter(F.create_map(*pairs), lambda _, value: value.isNotNull())
+
+    return let(
+        picks,
+        lambda picks: let(
+            F.struct(
+                picks.alias("picks"),
+                _or(pick(picks, "aac_user"), DEFAULT_USER).alias("user"),
+                _or(pick(picks, "partner"), DEFAULT_PARTNER).alias("partner"),
+            ),
+            with_people,
+        ),
+    )
 
 
 def build_request(

@@ -137,22 +137,22 @@ def render(template: Column | str, values: Column, single_brace: bool = False) -
     Unknown names become empty. A value is never scanned again, so holes inside
     values stay as they are. ``single_brace`` also fills ``{ name }``.
     """
-    template = F.regexp_replace(as_column(template), r"\n\z", "")
     hole = r"\{\{\s*([A-Za-z_]\w*)\s*\}\}"
     if single_brace:
         hole = r"\{?\{\s*([A-Za-z_]\w*)\s*\}\}?"
-    between = F.split(template, hole)
-    names = F.regexp_extract_all(template, F.lit(hole), F.lit(1))
-    return F.array_join(
-        F.zip_with(
-            between,
-            names,
-            lambda text, name: F.concat(
-                text, F.coalesce(F.try_element_at(values, F.coalesce(name, F.lit(""))), F.lit(""))
-            ),
-        ),
-        "",
-    )
+
+    def filled(row: Column) -> Column:
+        def value(name: Column) -> Column:
+            known = F.try_element_at(row["values"], F.coalesce(name, F.lit("")))
+            return F.coalesce(known, F.lit(""))
+
+        between = F.split(row["template"], hole)
+        names = F.regexp_extract_all(row["template"], F.lit(hole), F.lit(1))
+        parts = F.zip_with(between, names, lambda text, name: F.concat(text, value(name)))
+        return F.array_join(parts, "")
+
+    trimmed = F.regexp_replace(as_column(template), r"\n\z", "")
+    return let(F.struct(trimmed.alias("template"), values.alias("values")), filled)
 
 
 def unfence_json(c: Column | str) -> Column:

@@ -169,14 +169,22 @@ def resolve_resource(
 def new_combinations(
     candidates: DataFrame, done: DataFrame, template: str = "template_id", subs: str = "substitutions"
 ) -> DataFrame:
-    """Candidates whose template and set of substitutions exist neither in ``done`` nor twice."""
+    """Candidates whose template and set of substitutions exist neither in ``done`` nor twice.
 
-    def key(df: DataFrame) -> DataFrame:
-        pairs = F.sort_array(F.map_entries(subs))
-        return df.withColumn("_key", F.sha2(F.to_json(F.struct(F.col(template), pairs)), 256))
+    The sorted pairs themselves are the key. Copies combine before the shuffle.
+    """
 
-    fresh = key(candidates).dropDuplicates(["_key"])
-    return fresh.join(key(done).select("_key").distinct(), "_key", "left_anti").drop("_key")
+    def key(df: DataFrame, *more: str) -> DataFrame:
+        return df.select(template, F.sort_array(F.map_entries(subs)).alias("_pairs"), *more)
+
+    others = [c for c in candidates.columns if c not in (template, subs)]
+    fresh = key(candidates, *others)
+    if others:
+        fresh = fresh.groupBy(template, "_pairs").agg(*[F.first(c).alias(c) for c in others])
+    else:
+        fresh = fresh.distinct()
+    fresh = fresh.join(key(done).distinct(), [template, "_pairs"], "left_anti")
+    return fresh.withColumn(subs, F.map_from_entries("_pairs")).select(*candidates.columns)
 
 
 def pair_files(responses: DataFrame, metas: DataFrame) -> DataFrame:
