@@ -179,6 +179,22 @@ def translatable_strings(spark, d):
     return translation.translatable_strings(nested, "position", ["head", "word"])
 
 
+@query(
+    with_views("triples")
+    + """SELECT position, upper(head) AS head, relation,
+    array_to_string(list_transform(string_split(head, ' '), lambda w: upper(w) || '/' || w), ' ')
+    AS parts FROM triples"""
+)
+def translated_in_place(spark, d):
+    words = F.transform(F.split("head", " "), lambda w: F.struct(w.alias("word"), w.alias("code")))
+    nested = triples(spark, d).select("position", "head", "relation", words.alias("parts"))
+    texts = translation.translatable_strings(nested, "position", ["head", "word"])
+    upper = texts.withColumn("text", F.upper("text"))
+    done = translation.put_back(nested, "position", upper, ["head", "word"])
+    parts = F.transform("parts", lambda p: F.concat_ws("/", p["word"], p["code"]))
+    return done.withColumn("parts", F.array_join(parts, " "))
+
+
 @query(
     with_views("strings")
     + r"""SELECT 'translate_fr-FR_' || field || '_' || (idx // 25) || '_0' AS custom_id, field,

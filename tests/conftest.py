@@ -7,10 +7,15 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def shared_folder(tmp_path_factory):
+    return str(tmp_path_factory.mktemp("shared"))
+
+
+@pytest.fixture(scope="session")
+def spark(shared_folder):
     from checks.compare import session
 
-    return session("4")
+    return session("4", **{"spark.checkpoint.dir": shared_folder})
 
 
 @pytest.fixture

@@ -236,3 +236,35 @@ def test_latest_file(spark):
     files = spark.createDataFrame([("a", "p1", 1), ("a", "p2", 3), ("b", "p3", 2)],
                                   "lang string, path string, modified int")
     assert ids(joins.latest_file(files, ["lang"]), "lang", "path") == [("a", "p2"), ("b", "p3")]
+
+
+def test_put_back_in_nested_places(spark):
+    df = spark.createDataFrame(
+        [(1, "a", [("x", "k"), (None, "k")], ["p", " "], "keep"), (2, None, None, None, "keep")],
+        "id int, topic string, parts array<struct<which:string,code:string>>, "
+        "notes array<string>, other string",
+    )
+    cols = ["topic", "which", "notes"]
+    found = translation.translatable_strings(df, "id", cols)
+    assert ids(found, "id", "path", "text") == [
+        (1, "notes.0", "p"), (1, "parts.0.which", "x"), (1, "topic", "a"),
+    ]
+    upper = found.withColumn("text", F.upper("text")).filter("path <> 'topic'")
+    first, second = translation.put_back(df, "id", upper, cols).orderBy("id").collect()
+    assert first.topic == "a" and first.notes == ["P", " "] and first.other == "keep"
+    assert [tuple(p) for p in first.parts] == [("X", "k"), (None, "k")]
+    assert second.topic is None and second.parts is None
+
+
+def test_ready_jobs(spark):
+    from turnloom.schemas import LEDGER
+
+    def job(id_, lang, result, processed):
+        return (id_, "f", lang, "b", "completed", "t", None, result, processed)
+
+    ledger = spark.createDataFrame(
+        [job("1", "en", "r", None), job("2", "en", "r", True), job("3", "fr", None, False),
+         job("4", "fr", "r", False)], LEDGER,
+    )
+    assert ids(joins.ready_jobs(ledger), "batch_id") == [("1",), ("4",)]
+    assert ids(joins.ready_jobs(ledger, ["fr"]), "batch_id") == [("4",)]

@@ -114,6 +114,6 @@ def test_templates_must_be_few(spark):
         sampling.bounded_rows(spark.range(20), "templates", limit=10)
 
 
-def test_checkpoint_folder_comes_from_the_session(spark):
-    scale.cut_lineage(spark.range(3))
-    assert spark.sparkContext.getCheckpointDir()
+def test_intermediate_tables_lie_in_the_named_folder(spark, shared_folder):
+    df = scale.cut_lineage(spark.range(3))
+    assert df.count() == 3 and shared_folder in df.inputFiles()[0]

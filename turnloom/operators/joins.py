@@ -148,6 +148,12 @@ def pending(work: DataFrame, done: DataFrame, on: str | Sequence[str]) -> DataFr
     return missing(work, done, on)
 
 
+def ready_jobs(ledger: DataFrame, langs: Sequence[str] | None = None) -> DataFrame:
+    """Jobs of the ledger with a result that has not been processed yet."""
+    ready = F.col("result_file").isNotNull() & ~F.coalesce(F.col("processed"), F.lit(False))
+    return ledger.filter(ready & F.col("lang_code").isin(*langs) if langs else ready)
+
+
 def resolve_resource(
     langs: DataFrame, resources: DataFrame, value: str, default: str = "en"
 ) -> DataFrame:

@@ -10,9 +10,10 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Tables counted to be at most this long may be broadcast.
@@ -22,20 +23,28 @@ _BUCKET_DIGITS = 4
 _SMALL_BUCKET = 10_000
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables: the one ``spark.checkpoint.dir`` names.
+
+    Only a local session that names none gets a folder of its own.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="turnloom-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint of ``df`` in the folder the session names.
+    """``df`` written out and read back: later readers see the same rows and prune columns.
 
-    Only a local session without ``spark.checkpoint.dir`` gets a folder of its own.
+    The table stays in the shared folder; who owns the folder clears it.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="turnloom-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(df.sparkSession)}/turnloom-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
@@ -92,12 +101,16 @@ def number_rows(
         Window.unboundedPreceding, -1
     )
     group = {c: f"_by{i}" for i, c in enumerate(by)}
-    offsets = parts.select(
-        F.col("_part").alias("_of_part"),
-        *[F.col(c).alias(alias) for c, alias in group.items()],
-        "_first",
-        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"),
+    offsets = cut_lineage(
+        parts.select(
+            F.col("_part").alias("_of_part"),
+            *[F.col(c).alias(alias) for c, alias in group.items()],
+            "_first",
+            F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"),
+        )
     )
+    if offsets.count() <= BROADCAST_ROWS:
+        offsets = F.broadcast(offsets)
     same = [F.col(c).eqNullSafe(F.col(alias)) for c, alias in group.items()]
     number = F.col("_offset") + (F.col("_place") - F.col("_first")) + F.lit(start)
     return placed.join(offsets, [F.col("_part") == F.col("_of_part"), *same], "inner").select(

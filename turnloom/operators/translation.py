@@ -83,6 +83,48 @@ def translatable_strings(
     return rows.filter(F.trim(F.regexp_replace("text", r"\s+", " ")) != "")
 
 
+def put_back(
+    df: DataFrame, key: str, translations: DataFrame, cols: Sequence[str], skip: Sequence[str] = ()
+) -> DataFrame:
+    """Put texts back at the paths ``translatable_strings`` found them at.
+
+    ``translations`` has ``(key, path, text)``; a place without one keeps its text. The
+    texts of one row, no more than the row held, come to it as a map.
+    """
+    allowed = [c for c in cols if c not in skip]
+    texts = translations.groupBy(key).agg(
+        F.map_from_entries(F.collect_list(F.struct("path", "text"))).alias("_texts")
+    )
+
+    def rebuilt(path: Column, value: Column, dtype, name: str) -> Column:
+        kind = dtype.typeName()
+        if kind == "string" and name in allowed:
+            return F.coalesce(F.try_element_at("_texts", path), value)
+        if kind == "struct":
+            fields = [
+                rebuilt(F.concat_ws(".", path, F.lit(f.name)), value[f.name], f.dataType, f.name)
+                .alias(f.name)
+                for f in dtype.fields
+            ]
+            return F.when(value.isNotNull(), F.struct(*fields))
+        if kind == "array":
+            return F.transform(
+                value,
+                lambda x, i: rebuilt(
+                    F.concat_ws(".", path, i.cast("string")), x, dtype.elementType, name
+                ),
+            )
+        return value
+
+    columns = [
+        F.col(f.name)
+        if f.name == key or f.name in skip
+        else rebuilt(F.lit(f.name), F.col(f.name), f.dataType, f.name).alias(f.name)
+        for f in df.schema.fields
+    ]
+    return lookup_join(df, texts, key, "left").select(*columns)
+
+
 def chunk_requests(
     strings: DataFrame,
     lang: str,

@@ -49,21 +49,25 @@ def with_surroundings(
         )
     )
     w = Window.partitionBy("conversation_id", "_block").orderBy("turn_number")
-    out = turns.withColumn("_block", F.explode(copies))
+    said = F.struct(
+        _text(F.col("speaker")).alias("speaker"), _text(F.col("utterance")).alias("utterance")
+    )
+    around = []
     if context:
-        said = F.struct(
-            _text(F.col("speaker")).alias("speaker"), _text(F.col("utterance")).alias("utterance")
-        )
-        out = out.withColumn("_context", F.collect_list(said).over(w.rowsBetween(-n, -1)))
+        around.append(F.collect_list(said).over(w.rowsBetween(-n, -1)).alias("_context"))
     if following:
-        for c in ("speaker", "utterance"):
-            out = out.withColumn(f"next_turn_{c}", F.lead(_text(F.col(c)), 1, "").over(w))
-    out = out.filter(F.col("_block") == F.floor(F.col("turn_number") / block))
+        around.append(F.lead(said, 1).over(w).alias("_next"))
+    out = turns.withColumn("_block", F.explode(copies)).select("*", *around)
+    out = out.filter(F.col("_block") == home)
     if context:
         out = out.withColumn("context_speakers", F.col("_context.speaker")).withColumn(
             "context_utterances", F.col("_context.utterance")
         )
-    return out.drop("_block", "_context")
+    if following:
+        out = out.withColumn("next_turn_speaker", _text(F.col("_next.speaker"))).withColumn(
+            "next_turn_utterance", _text(F.col("_next.utterance"))
+        )
+    return out.drop("_block", "_context", "_next")
 
 
 def with_context(turns: DataFrame, n: int = 3, block: int = BLOCK_TURNS) -> DataFrame:

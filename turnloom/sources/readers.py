@@ -67,27 +67,38 @@ def read_json_array(
 
 
 def read_records(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
-    """Lines, an array, or an object with a ``data`` array, told apart file by file."""
-    files = _whole_files(spark, path)
-    first = F.trim(F.split_part(F.col("value"), F.lit("\n"), F.lit(1)))
-    is_lines = first.startswith("{") & first.endswith("}")
-    lines = (
-        files.filter(is_lines)
-        .select("_path", F.explode(F.split("value", "\n")).alias("_line"))
-        .filter(F.trim("_line") != "")
-        .select(F.try_variant_get(F.parse_json("_line"), "$", schema.simpleString()).alias("_row"))
-        .select("_row.*")
+    """Lines, an array, or an object with a ``data`` array, told apart file by file.
+
+    A file is one of lines when its first line is an object of its own. Only the names of
+    the files come to the driver, which lists them for the scan anyway; files of lines are
+    then read in parts like any other, and only the rest are read whole.
+    """
+    text = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("_path"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_line"),
+        F.trim("value").alias("_text"),
     )
-    whole = files.filter(~is_lines).withColumn("_json", F.parse_json("value"))
-    kind = F.schema_of_variant("_json")
-    data = F.try_variant_get("_json", "$.data", "variant")
-    checked = whole.withColumn(
-        "_array",
-        F.when(kind.startswith("ARRAY"), F.col("_json"))
-        .when(F.schema_of_variant(data).startswith("ARRAY"), data)
-        .otherwise(F.parse_json(_array_guard(whole))),
+    first = text.groupBy("_path").agg(
+        F.min_by("_text", F.struct("_block", "_line")).alias("_first")
     )
-    return lines.unionByName(_elements(checked, schema))
+    is_lines = F.col("_first").startswith("{") & F.col("_first").endswith("}")
+    shapes = first.select("_path", is_lines.alias("lines")).collect()
+    by_line = [r["_path"] for r in shapes if r["lines"]]
+    whole = [r["_path"] for r in shapes if not r["lines"]]
+    out = spark.createDataFrame([], schema)
+    if by_line:
+        out = out.unionByName(read_jsonl(spark, by_line, schema))
+    if whole:
+        files = _whole_files(spark, whole).withColumn("_json", F.parse_json("value"))
+        data = F.try_variant_get("_json", "$.data", "variant")
+        array = (
+            F.when(F.schema_of_variant("_json").startswith("ARRAY"), F.col("_json"))
+            .when(F.schema_of_variant(data).startswith("ARRAY"), data)
+            .otherwise(F.parse_json(_array_guard(files)))
+        )
+        out = out.unionByName(_elements(files.withColumn("_array", array), schema))
+    return out
 
 
 def read_triples(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
