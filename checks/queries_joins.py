@@ -209,20 +209,23 @@ def chunk_requests(spark, d):
     return jobs.translation_requests(entries(spark, d), ["topic", "which"], "fr-FR", size=25)
 
 
+ANSWERED = 20
+
+
 def _answers(strings):
-    """Responses to chunks of 100 strings: the first 90 of each, in capitals."""
-    pos = F.col("idx") % 100
+    """Responses in capitals to chunks of 20 strings; the last, shorter chunk has none yet."""
+    pos = F.col("idx") % ANSWERED
     listed = F.transform(
         F.sort_array(F.collect_list(F.struct(pos.alias("pos"), "original"))),
         lambda s: F.concat_ws(". ", (s["pos"] + 1).cast("string"), F.upper(s["original"])),
     )
-    chunk = F.floor(F.col("idx") / 100)
+    chunk = F.floor(F.col("idx") / ANSWERED)
     content = F.struct(F.array_join(listed, "\n").alias("content"))
     choices = F.array(F.struct(content.alias("message")))
     return (
-        strings.filter(pos < 90)
-        .groupBy("field", chunk.alias("chunk"))
-        .agg(F.to_json(F.struct(choices.alias("choices"))).alias("response"))
+        strings.groupBy("field", chunk.alias("chunk"))
+        .agg(F.to_json(F.struct(choices.alias("choices"))).alias("response"), F.count("*").alias("n"))
+        .filter(F.col("n") == ANSWERED)
         .select(
             F.col("chunk").alias("line_no"),
             F.concat_ws(
@@ -236,7 +239,7 @@ def _answers(strings):
 @query(with_views("lookup") + "SELECT field, original, translation FROM lookup")
 def index_lookup(spark, d):
     strings = translation.unique_strings(entries(spark, d), ["topic", "which"])
-    return translation.index_lookup(strings, translation.read_batches(_answers(strings)))
+    return translation.index_lookup(strings, translation.read_batches(_answers(strings)), ANSWERED)
 
 
 TRANSLATED_SQL = """SELECT position, coalesce(a.translation, topic) AS topic, relation,
@@ -269,7 +272,7 @@ def dict_translate(spark, d):
 def translation_round_trip(spark, d):
     rows = entries(spark, d)
     answers = _answers(translation.unique_strings(rows, ["topic", "which"]))
-    return jobs.translation_round_trip(rows, ["topic", "which"], answers)[0]
+    return jobs.translation_round_trip(rows, ["topic", "which"], answers, ANSWERED)[0]
 
 
 @query(
@@ -283,7 +286,7 @@ def translation_round_trip(spark, d):
 def coverage(spark, d):
     rows = entries(spark, d)
     answers = _answers(translation.unique_strings(rows, ["topic", "which"]))
-    return jobs.translation_round_trip(rows, ["topic", "which"], answers)[1]
+    return jobs.translation_round_trip(rows, ["topic", "which"], answers, ANSWERED)[1]
 
 
 @query(

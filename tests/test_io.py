@@ -74,7 +74,7 @@ def talk(*turns, **more):
 
 def test_corpus_language(spark, write, tmp_path):
     write("n/aac_conversations_en-GB.jsonl", talk(("A", "hi", True)) + "\n")
-    write("n/aac_conversations_fr.v2.jsonl", talk(("A", "hi", True)) + "\n")
+    write("n/aac_conversations_x.y_fr.v2.jsonl", talk(("A", "hi", True)) + "\n")
     rows = readers.read_corpus(spark, f"{tmp_path}/n/aac_conversations_*", STORED_CONVERSATION)
     assert sorted(r.language_code for r in rows.collect()) == ["en-GB", "fr"]
     for folder in ("fr-FR", "language_generation", ".hidden"):

@@ -102,3 +102,22 @@ def test_process(spark):
     assert unnamed == {"{}", "broken line"}
     statuses = {r.line_no: r.status for r in read_responses(df).collect()}
     assert statuses == {1: "ok", 2: "recovered", 3: "error", 4: "error", 5: "error", 6: "error", 7: "ok"}
+
+
+def test_request_twins(spark):
+    from turnloom.plans.jobs import build_request_table, request_twins
+
+    templates = spark.createDataFrame([(0, "On {{ topic }}")], "template_id int, template string")
+    entries = spark.createDataFrame(
+        [(1, "PersonX eats", "xNeed", "food", None)],
+        "pos int, topic string, relation string, which string, aac_user_role string",
+    )
+    subs = spark.createDataFrame([("aac_user", ["Ann"])], "key string, values array<string>")
+    table = build_request_table(
+        3, "fr-FR", templates, entries, ["pos"], subs, "Write {{ language }}.", created_at="now"
+    )
+    submitted, kept = request_twins(table)
+    assert submitted.columns == ["custom_id", "method", "url", "body"]
+    row = kept.orderBy("custom_id").first()
+    assert row.custom_id == "batch_0" and row.metadata.created_at == "now"
+    assert [m.content for m in row.body.messages] == ["Write French.", "On Ann eats"]

@@ -102,11 +102,13 @@ def repair_json(content: Column | str) -> Column:
     parse has failed: a bare-key rewrite also hits ``word:`` inside strings. A comma is
     put after a quote only when that quote closes a value, so ``""`` stays empty.
     """
-    text = F.regexp_replace(as_column(content), r"([a-zA-Z0-9_]+)(\s*:)", r'"$1"$2')
+    text = F.regexp_replace(
+        as_column(content), r"(?<![a-zA-Z0-9_])([a-zA-Z0-9_]++)(\s*+:)", r'"$1"$2'
+    )
     text = F.replace(text, F.lit('\\"'), F.lit('"'))
     text = F.regexp_replace(text, r'([^\\])\\([^"\\/bfnrtu])', r"$1\\\\$2")
-    text = F.regexp_replace(text, r'(?<=[}\]])(\s*)(?=["{\[])', ",$1")
-    text = F.regexp_replace(text, r'(?<![:,\[{]\s{0,9}")(?<=")(\s+)(?=["{\[])', ",$1")
+    text = F.regexp_replace(text, r'([}\]])(\s*+)(?=["{\[])', "$1,$2")
+    text = F.regexp_replace(text, r'"(?<![:,\[{]\s{0,9}")(\s++)(?=["{\[])', '",$1')
     text = F.regexp_replace(text, r",(\s*[\]}])", "$1")
 
     def closed(text: Column) -> Column:

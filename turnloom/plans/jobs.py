@@ -102,8 +102,9 @@ def build_request_table(
     model: str = "gpt-4o-mini",
     batch_id: str = "batch",
     seed: int = 0,
+    created_at: str | None = None,
 ) -> DataFrame:
-    """``n`` requests: submitted part, metadata twin, and both prompts.
+    """``n`` requests: submitted part, metadata, and both prompts.
 
     User and system text draw their names and style values apart from each other.
     """
@@ -127,10 +128,20 @@ def build_request_table(
     return texts.withColumn(
         "request", build_request("custom_id", "system_prompt", "user_prompt", model)
     ).withColumn(
-        "metadata", F.struct(F.col("template_id"), F.lit(lang).alias("lang_code"))
+        "metadata",
+        F.struct(
+            F.col("template_id"),
+            F.lit(lang).alias("lang_code"),
+            F.lit(created_at).cast("string").alias("created_at"),
+        ),
     )
 
 
+def request_twins(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The lines to submit, and the same lines with the metadata to keep."""
+    return requests.select("request.*"), requests.select("request.*", "metadata")
+
+
 def sample_picks(substitutions: DataFrame, seed: int, name: str = "system") -> Column:
     """A map column with one random value per substitution key, drawn by ``request``."""
     pairs = []

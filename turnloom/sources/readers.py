@@ -138,7 +138,7 @@ def _existing(spark: SparkSession, paths: Sequence[str]) -> list[str]:
 def language_of(path: Column, lang_from: str = "name") -> Column:
     """Language of a file: after the last ``_`` of its name, or its folder's name."""
     if lang_from == "name":
-        stem = F.regexp_extract(path, r"_([^_/.]*)\.[^/]*$", 1)
+        stem = F.regexp_extract(path, r"_([^_/.]*)\.[^_/]*$", 1)
         return F.when(stem != "", stem).otherwise("unknown")
     return F.regexp_extract(path, r"([^/]+)/[^/]+$", 1)
 
