@@ -18,7 +18,13 @@ from checks.views import (
     with_views,
 )
 from turnloom.functions import text as text_fn
-from turnloom.functions.prompts import relation_context, relation_phrase, situation_text
+from turnloom.functions.prompts import build_request as request_struct
+from turnloom.functions.prompts import (
+    prompt_of,
+    relation_context,
+    relation_phrase,
+    situation_text,
+)
 from turnloom.functions.response import parse_conversation as parse_content
 from turnloom.functions.response import repair_json, response_content, response_format
 from turnloom.operators import joins, sampling, stats, translation
@@ -552,7 +558,7 @@ def fill_placeholders(spark, d):
     'The conversation is about ''' || topic || '''. where ' || which || coalesce('. ' || phrase, '')
     AS situation FROM said"""
 )
-def relation_contexts(spark, d):
+def relation_context_(spark, d):
     phrase = relation_phrase("relation", F.lit("Ann"), F.lit("Bo"))
     return _graph(spark, d).select(
         "position",
@@ -562,6 +568,23 @@ def relation_contexts(spark, d):
     )
 
 
+@query(
+    """SELECT 'd_' || doc_id AS custom_id, 'POST' AS method, '/v1/chat/completions' AS url,
+    'm1' AS model, 0.7::DOUBLE AS temperature, 1500 AS max_tokens, 'json_object' AS format,
+    lang AS system_text, text AS prompt FROM documents"""
+)
+def build_request(spark, d):
+    docs = table(spark, d, "documents")
+    id_ = F.concat(F.lit("d_"), F.col("doc_id").cast("string"))
+    requests = docs.select(request_struct(id_, "lang", "text", "m1").alias("r")).select("r.*")
+    return requests.select(
+        "custom_id", "method", "url", "body.model", "body.temperature", "body.max_tokens",
+        F.col("body.response_format.type").alias("format"),
+        F.col("body.messages")[0]["content"].alias("system_text"),
+        prompt_of("body").alias("prompt"),
+    )
+
+
 # Responses
 
 
@@ -582,7 +605,7 @@ CONTENT_SQL = r""", turn_json AS (SELECT custom_id, language_code, conversation_
 @query(
     with_views("nested") + CONTENT_SQL + " SELECT custom_id, content FROM content"
 )
-def response_contents(spark, d):
+def response_content_(spark, d):
     lines = envelopes(spark, d).withColumn("v", F.try_parse_json("value"))
     return lines.select("custom_id", response_content("v").alias("content"))
 
@@ -591,7 +614,7 @@ def response_contents(spark, d):
     with_views("nested")
     + "SELECT 'openai_batch_direct' AS format, count(DISTINCT custom_id) AS n FROM nested"
 )
-def response_formats(spark, d):
+def response_format_(spark, d):
     lines = envelopes(spark, d).withColumn("v", F.try_parse_json("value"))
     return lines.groupBy(response_format("v").alias("format")).agg(F.count("*").alias("n"))
 
@@ -613,7 +636,7 @@ def parse_conversation(spark, d):
     + """SELECT custom_id, CASE WHEN n = 4 THEN NULL ELSE n END AS turns FROM nested
     GROUP BY custom_id, n"""
 )
-def repair_contents(spark, d):
+def repair_json_(spark, d):
     """Every text through the repair, also the sound ones, which come out whole."""
     fixed = contents(spark, d).select(
         "custom_id", parse_content(repair_json("content")).alias("c")

@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.registry import query
-from checks.views import conversations, table, triples, turns, with_views
+from checks.views import conversations, custom_id, table, triples, turns, with_views
 from turnloom.functions.keyboard import adjacency, grid_keys, key_grid, neighbours
 from turnloom.functions.noise import draw_numbers, edit_count, edit_positions, let, noisy
 from turnloom.functions.text import (
     fully_corrected,
     is_aac_speaker,
+    language_name,
     locale_base,
     minimally_corrected,
+    over_token_limit,
     token_estimate,
     word_count,
 )
@@ -20,7 +22,7 @@ from turnloom.operators import filters, stats, tasks
 from turnloom.operators import turns as t
 from turnloom.operators.scale import spread
 from turnloom.plans.jobs import augment_turns, stats_report
-from turnloom.schemas import ERROR_RATES, LAYOUTS
+from turnloom.schemas import ERROR_RATES, FLAT_COLUMNS, LAYOUTS
 
 KEY = ["conversation_id", "turn_number"]
 SMALL_RELATIONS = ("SMALL", "PROMO", "ECONOMY")
@@ -165,7 +167,7 @@ def _joined_context(flat):
 @query(with_views("turns") + f"SELECT * EXCLUDE (is_aac_user) FROM ({FLAT_SQL}) WHERE is_aac_user")
 def flatten_turns(spark, d):
     flat = t.flatten_turns(turns(spark, d, language=True))
-    return _joined_context(flat).select(*_flat_base())
+    return _joined_context(flat).select(*FLAT_COLUMNS[:14])
 
 
 @query(
@@ -184,18 +186,10 @@ def flatten_turns(spark, d):
     WHERE is_aac_user"""
 )
 def flatten_examples(spark, d):
-    from checks.views import custom_id
-
     nested = conversations(spark, d).withColumn(
         "conversation_id", custom_id(F.col("conversation_id"), F.col("segment"))
     )
-    return _joined_context(t.flatten_examples(nested)).select(*_flat_base())
-
-
-def _flat_base():
-    from turnloom.schemas import FLAT_COLUMNS
-
-    return FLAT_COLUMNS[:14]
+    return _joined_context(t.flatten_examples(nested)).select(*FLAT_COLUMNS[:14])
 
 
 @query(
@@ -232,7 +226,7 @@ def rebuild_conversation(spark, d):
     + r"""SELECT conversation_id, turn_number, len(list_filter(
     string_split_regex(utterance, '\s+'), lambda x: x <> ''))::INTEGER AS words FROM turns"""
 )
-def word_counts(spark, d):
+def word_count_(spark, d):
     return turns(spark, d).select(*KEY, word_count("utterance").alias("words"))
 
 
@@ -259,7 +253,7 @@ def corrections(spark, d):
     """SELECT lang, source, lang || '-' || upper(source) AS locale, lang AS base, count(*) AS n
     FROM documents GROUP BY lang, source"""
 )
-def locale_bases(spark, d):
+def locale_base_(spark, d):
     locales = table(spark, d, "documents").groupBy("lang", "source").agg(F.count("*").alias("n"))
     locales = locales.withColumn("locale", F.concat_ws("-", "lang", F.upper("source")))
     return locales.withColumn("base", locale_base("locale"))
@@ -270,7 +264,7 @@ def locale_bases(spark, d):
     + """SELECT speaker || CASE WHEN is_aac_user THEN ' (AAC)' ELSE ' (aac)' END AS name,
     is_aac_user AS is_aac, count(*) AS n FROM turns GROUP BY ALL"""
 )
-def aac_speakers(spark, d):
+def is_aac_speaker_(spark, d):
     mark = F.when(F.col("is_aac_user"), " (AAC)").otherwise(" (aac)")
     names = turns(spark, d).select(F.concat("speaker", mark).alias("name"))
     return names.groupBy("name", is_aac_speaker("name").alias("is_aac")).agg(
@@ -282,12 +276,10 @@ def aac_speakers(spark, d):
     """SELECT doc_id, (length(text) + 500) // 4 AS tokens,
     (length(text) + 500) // 4 > 1000 * 0.8 AS over_80 FROM documents"""
 )
-def token_estimates(spark, d):
+def token_estimate_(spark, d):
     docs = table(spark, d, "documents").select(
         "doc_id", token_estimate("text", overhead=500).alias("tokens")
     )
-    from turnloom.functions.text import over_token_limit
-
     return docs.withColumn("over_80", over_token_limit("tokens", 1000))
 
 
@@ -300,6 +292,38 @@ def token_totals(spark, d):
     return stats.token_totals(table(spark, d, "documents"), "text", 1_000_000, by=["lang"])
 
 
+@query(
+    """SELECT lang || '-' || upper(source) AS lang_code, count(*) AS n FROM documents
+    WHERE lang <> 'en' AND lang || '-' || upper(source) <> 'fr-SRC1' GROUP BY 1"""
+)
+def eligible_locales(spark, d):
+    code = F.concat_ws("-", "lang", F.upper("source")).alias("lang_code")
+    locales = table(spark, d, "documents").groupBy(code).agg(F.count("*").alias("n"))
+    return filters.eligible_locales(locales, unsupported=["fr-SRC1"])
+
+
+@query(
+    """SELECT doc_id, CASE lang WHEN 'fr' THEN 'French' WHEN 'de' THEN 'German'
+    WHEN 'es' THEN 'Spanish' ELSE 'en' END AS name FROM documents"""
+)
+def language_name_(spark, d):
+    region = F.when(F.col("lang") != "en", F.concat(F.lit("-"), F.upper("lang"))).otherwise("")
+    return table(spark, d, "documents").select(
+        "doc_id", language_name(F.concat("lang", region)).alias("name")
+    )
+
+
+@query(
+    """SELECT doc_id, source AS provider, lang AS model FROM documents
+    WHERE source = 'src3' AND lang = 'fr'"""
+)
+def by_generator(spark, d):
+    rows = table(spark, d, "documents").select(
+        "doc_id", F.col("source").alias("provider"), F.col("lang").alias("model")
+    )
+    return filters.by_generator(rows, "src3", "fr")
+
+
 # Statistics
 
 STATS_SQL = r"""SELECT language_code, count(DISTINCT conversation_id) AS num_conversations,
@@ -408,7 +432,7 @@ GRIDS = _values((layout, grid_keys(key_grid(layout))) for layout in LAYOUTS)
     FROM chars CROSS JOIN (SELECT DISTINCT layout FROM nb) l LEFT JOIN nb
       ON nb.layout = l.layout AND nb.key = CASE WHEN ch = ' ' THEN '_' ELSE upper(ch) END"""
 )
-def key_neighbours(spark, d):
+def neighbours_(spark, d):
     chars = stats.char_frequency(turns(spark, d), "utterance").withColumnRenamed("char", "ch")
     found = [
         F.struct(
@@ -509,7 +533,7 @@ def _pivot(layouts, severities) -> str:
     CASE WHEN is_aac_user THEN {FULL} END AS fully_corrected
     FROM turns t LEFT JOIN wide USING (conversation_id, turn_number)"""
 )
-def augmented_turns(spark, d):
+def augment_turns_(spark, d):
     rows = augment_turns(spread(turns(spark, d)))
     return rows.drop("speaker", "utterance", "utterance_intended")
 

@@ -11,12 +11,13 @@ ORACLES: dict[str, str] = {}
 
 
 def query(sql: str | None = None):
-    """Register a query under its function's name."""
+    """Register a query under its function's name, without a trailing underscore."""
 
     def register(fn):
-        QUERIES[fn.__name__] = fn
+        name = fn.__name__.rstrip("_")
+        QUERIES[name] = fn
         if sql is not None:
-            ORACLES[fn.__name__] = sql
+            ORACLES[name] = sql
         return fn
 
     return register
