@@ -45,6 +45,21 @@ def test_both_forms_agree(texts):
             assert row.v[tag] == row[tag] != row.c
 
 
+def test_slices_cover_all_rows_and_change_nothing(texts, monkeypatch):
+    import pandas as pd
+
+    from turnloom.functions import noise_batch
+
+    monkeypatch.setattr(noise_batch, "SLICE_CHARS", 40)
+    sample = pd.Series(["a" * 10, None, "b" * 100, "", "c" * 39, "d", "e"])
+    slices = list(noise_batch._slices(sample))
+    assert [(x.start, x.stop) for x in slices] == [(0, 2), (2, 3), (3, 6), (6, 7)]
+    small = texts.select("id", noisy_variants("c", ["id"], VARIANTS[:2]).alias("v")).collect()
+    monkeypatch.undo()
+    whole = texts.select("id", noisy_variants("c", ["id"], VARIANTS[:2]).alias("v")).collect()
+    assert sorted(map(str, small)) == sorted(map(str, whole))
+
+
 def test_null_and_empty_stay(spark):
     df = spark.createDataFrame([(1, None), (2, "")], "id int, c string")
     for form in (

@@ -31,6 +31,9 @@ from turnloom.functions.text import as_column
 # Executors need not have this package installed: the function travels by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# Characters handled at a time; a longer text is handled alone.
+SLICE_CHARS = 500_000
+
 
 def _mix(a, b, c, i):
     return ((a + i) * (b + i) % PRIME) * (c + i) % PRIME
@@ -163,6 +166,33 @@ def _variant(
     return results
 
 
+def _slices(texts: pd.Series) -> Iterator[slice]:
+    """Consecutive rows of about ``SLICE_CHARS`` characters, so that arrays stay small."""
+    upto = np.cumsum([len(t) if isinstance(t, str) else 0 for t in texts])
+    start = 0
+    while start < len(texts):
+        before = upto[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(upto, before + SLICE_CHARS, side="right")))
+        yield slice(start, stop)
+        start = stop
+
+
+def _perturbed(
+    texts: pd.Series, keys: pd.Series, layouts: list, seed: int, kinds: Sequence[str]
+) -> pd.DataFrame:
+    """One column per variant; null and empty texts stay."""
+    usable = texts.notna().to_numpy() & (texts != "").to_numpy()
+    batch, row_keys = _Batch(texts[usable].tolist()), keys[usable].tolist()
+    columns = {}
+    for tag, layout, rate in layouts:
+        values = texts.to_numpy(dtype=object, copy=True)
+        if row_keys:
+            numbers = _draw_numbers(row_keys, tag, seed)
+            values[usable] = _variant(batch, numbers, layout, rate, kinds)
+        columns[tag] = values
+    return pd.DataFrame(columns)
+
+
 def noisy_variants(
     text: Column | str,
     key: Sequence[Column | str],
@@ -183,16 +213,8 @@ def noisy_variants(
 
     def perturb(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for texts, keys in batches:
-            usable = texts.notna().to_numpy() & (texts != "").to_numpy()
-            batch, row_keys = _Batch(texts[usable].tolist()), keys[usable].tolist()
-            columns = {}
-            for tag, layout, rate in layouts:
-                values = texts.to_numpy(dtype=object, copy=True)
-                if len(row_keys):
-                    numbers = _draw_numbers(row_keys, tag, seed)
-                    values[usable] = _variant(batch, numbers, layout, rate, kinds)
-                columns[tag] = values
-            yield pd.DataFrame(columns, columns=tags)
+            for rows in _slices(texts):
+                yield _perturbed(texts.iloc[rows], keys.iloc[rows], layouts, seed, kinds)
 
     row_key = F.concat_ws("|", *[as_column(k).cast("string") for k in key])
     return F.pandas_udf(perturb, schema)(as_column(text), row_key)

@@ -161,14 +161,17 @@ def resolve_resource(
 
     ``resources`` has one row per ``lang_code``.
     """
-    found = langs.withColumn("_base", locale_base("lang_code")).withColumn("_last", F.lit(default))
-    for step, key in enumerate(("lang_code", "_base", "_last")):
-        side = resources.select(
-            F.col("lang_code").alias(key),
-            F.struct(F.lit(True).alias("hit"), F.col(value).alias("value")).alias(f"_r{step}"),
-        )
-        found = lookup_join(found, side, key, "left")
-    hits = F.coalesce("_r0", "_r1", "_r2")
+    def side(key: str, step: str, rows: DataFrame = resources) -> DataFrame:
+        hit = F.struct(F.lit(True).alias("hit"), F.col(value).alias("value"))
+        return rows.select(F.col("lang_code").alias(key), hit.alias(step))
+
+    found = lookup_join(langs, side("lang_code", "_exact"), "lang_code", "left")
+    found = found.withColumn("_base", locale_base("lang_code"))
+    found = lookup_join(found, side("_base", "_of_base"), "_base", "left")
+    # the last step has the same key for every row, and one resource at most
+    last = F.broadcast(side("_last", "_default", resources.filter(F.col("lang_code") == default).limit(1)))
+    found = found.withColumn("_last", F.lit(default)).join(last, "_last", "left")
+    hits = F.coalesce("_exact", "_of_base", "_default")
     return found.select(*langs.columns, hits["value"].alias(value))
 
 

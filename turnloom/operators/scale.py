@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from turnloom.functions.text import as_column
+
 # Tables counted to be at most this long may be broadcast.
 BROADCAST_ROWS = 100_000
 # Buckets of the hash order, one hex digit each: 16 ** 4.
@@ -120,7 +122,7 @@ def number_rows(
 
 def hash_order(key: Sequence[str | Column], seed: int | str = 0) -> Column:
     """A hex text that orders rows at random, the same in every run."""
-    parts = [(F.col(k) if isinstance(k, str) else k).cast("string") for k in key]
+    parts = [F.coalesce(as_column(k).cast("string"), F.lit("")) for k in key]
     return F.md5(F.concat_ws("|", *parts, F.lit(str(seed))))
 
 
