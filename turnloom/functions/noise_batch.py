@@ -2,7 +2,7 @@
 
 Higher-order functions are interpreted node by node, and noise looks at every character
 once per variant: about 3 microseconds per character and variant on one core, against
-about 0.2 for the numpy form below (sf0.1, twelve variants). So the twelve-variant job
+0.15 to 0.6 for the numpy form below (sf0.1, twelve variants). So the twelve-variant job
 goes through one vectorised function per Arrow batch. Same draws, same result:
 ``tests/test_noise.py`` compares the two forms.
 
