@@ -199,9 +199,10 @@ def connect(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def _bucket_links(batches: Iterator[pa.RecordBatch], d: int) -> Iterator[pa.RecordBatch]:
     """Links from each fingerprint to the first of its component in its bucket."""
-    table = pa.Table.from_batches(
-        batches, pa.schema([("bucket", pa.int64()), ("fp", pa.int64())])
-    )
+    held = list(batches)
+    if not held:
+        return
+    table = pa.Table.from_batches(held)
     bucket, fp = (table[c].to_numpy() for c in ("bucket", "fp"))
     order = np.argsort(bucket, kind="stable")
     bucket, fp = bucket[order], fp[order].view(np.uint64)
@@ -312,7 +313,7 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (
             lookup_join(large, least, "a", "inner")
-            .select(F.explode(F.array(F.struct("a", "m"), F.struct("b", "m"))).alias("e"))
+            .select(F.explode(F.array(F.struct("a", "m"), F.struct(F.col("b").alias("a"), "m"))).alias("e"))
             .select(F.col("e.a"), F.col("e.m").alias("b"))
             .filter("a != b")
             .distinct()
