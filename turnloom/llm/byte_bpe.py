@@ -21,7 +21,7 @@ PATTERN = (
 # Characters that a test holds to be cut alike by both engines.
 PLAIN = r"\t\n\r\x20-\x7e¡-Ɂ‐-‧‰-⁞₠-₿"
 # Pre-tokens that a worker remembers, and characters cut at a time.
-CACHE = 600_000
+CACHE = 1_200_000
 SLICE = 1 << 19
 
 _cut = regex.compile(PATTERN)

@@ -12,6 +12,7 @@ the plan, whose size the capacity bounds, goes back.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -210,10 +211,10 @@ def cut(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
 
 
 class IdBytes(Vocabulary):
-    """Ids as little-endian unsigned 32-bit numbers."""
+    """Ids as unsigned 32-bit numbers (little-endian, as all machines Spark runs on)."""
 
     def resolve(self, pieces: list[str]) -> list[bytes]:
-        return [np.array(ids, "<u4").tobytes() for ids in self.encode(pieces)]
+        return [array("I", ids).tobytes() for ids in self.encode(pieces)]
 
     def whole(self, text: str) -> bytes:
         return self.resolve([text])[0]

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from turnloom.llm import packing, simhash, token_counts
+from pyspark.sql import functions as F
+
+from turnloom.llm import packing, simhash, substrings, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,6 +36,12 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex("fp").alias("fingerprint"), "component_id")
 
 
+@query
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
