@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from turnloom.llm import packing, simhash, substrings, token_counts
+from turnloom.llm import cover_tree, packing, simhash, substrings, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,6 +48,11 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents, tokenizer_path("byte_bpe_50k.json"))
 
 
+@query
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.top_k(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
