@@ -8,7 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from turnloom.llm import cover_tree, packing, simhash, substrings, token_counts
+from turnloom.llm import (
+    cover_tree,
+    html_text,
+    line_crf,
+    packing,
+    piece_codec,
+    simhash,
+    substrings,
+    token_counts,
+    toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,12 +46,56 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex("fp").alias("fingerprint"), "component_id")
 
 
+# Categories in the order of the chain, as conditions on ``labels``.
+CATEGORIES = {
+    "low_quality": "quality = 0",
+    "toxic": "toxic = 1",
+    "toxic_and_low": "toxic = 1 and quality = 0",
+}
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    chain = toxicity.fit(documents, table(spark, sf_dir, "labels"), CATEGORIES)
+    scored = documents.select("doc_id", toxicity.probabilities(chain).alias("p"))
+    return scored.select(
+        "doc_id",
+        *[F.col(f"p.{c}").alias(f"p_{c}") for c in CATEGORIES],
+        (F.col("p.toxic") >= toxicity.THRESHOLD).alias("toxic"),
+    )
+
+
 @query
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substrings.remove_repeats(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (
+        table(spark, sf_dir, "pages")
+        .select("page_id", "url", html_text.extract("html").alias("text"))
+        .withColumn("n_chars", F.char_length("text").cast("long"))
+    )
+
+
+@query
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path("piece_bpe_32k.model")
+    return (
+        table(spark, sf_dir, "documents")
+        .select("doc_id", "text", piece_codec.encode(path, "text").alias("ids"))
+        .select(
+            "doc_id",
+            (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+            F.crc32("ids").alias("ids_crc32"),
+            (piece_codec.decode(path, "ids") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+        )
+    )
+
+
 @query
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
@@ -53,6 +107,13 @@ def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cover_tree.top_k(table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    field = line_crf.fit(documents, table(spark, sf_dir, "labels"))
+    return documents.select("doc_id", line_crf.judge(field).alias("r")).select("doc_id", "r.*")
+
+
 @query
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")

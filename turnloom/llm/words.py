@@ -108,23 +108,45 @@ def as_bytes(column) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
-def hashes(words: Words) -> np.ndarray:
-    """A 64-bit hash of each word: the sum of the table's numbers for its bytes."""
-    if not len(words.starts):
-        return np.zeros(0, np.uint64)
+def _byte_values(words: Words) -> np.ndarray:
+    """The table's number for each byte of ``words.text``, by its place in its word."""
     text = np.frombuffer(words.text, np.uint8)
     lengths = (words.ends - words.starts + 1).astype(np.int32)
     place = np.arange(len(text), dtype=np.int32)
     place -= np.repeat(words.starts.astype(np.int32), lengths)
     values = _TABLE[((place & (_SPAN - 1)) << 8) | text]
-    if int(lengths.max()) > _SPAN:
+    if int(lengths.max(initial=0)) > _SPAN:
         far = np.flatnonzero(place >= _SPAN)
         turns = place[far] // _SPAN
         with np.errstate(over="ignore"):
             powers = np.cumprod(np.full(int(turns.max()), _FACTOR, np.uint64), dtype=np.uint64)
             values[far] *= powers[turns - 1]
+    return values
+
+
+def hashes(words: Words) -> np.ndarray:
+    """A 64-bit hash of each word: the sum of the table's numbers for its bytes."""
+    if not len(words.starts):
+        return np.zeros(0, np.uint64)
+    with np.errstate(over="ignore"):
+        return np.add.reduceat(_byte_values(words), words.starts)
+
+
+def prefix_hashes(words: Words, sizes: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """``(word, hash)`` of each word whole and of its first ``sizes`` bytes where it is longer."""
+    n = len(words.starts)
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     with np.errstate(over="ignore"):
-        return np.add.reduceat(values, words.starts)
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_byte_values(words), dtype=np.uint64)])
+        owners, values = [np.arange(n)], [total[words.ends] - total[words.starts]]
+        for size in sizes:
+            at = np.flatnonzero(words.ends - words.starts > size)
+            start = words.starts[at]
+            owners.append(at)
+            # told apart from a whole word of the same bytes
+            values.append((total[start + size] - total[start]) ^ np.uint64(size))
+    return np.concatenate(owners), np.concatenate(values)
 
 
 def chained(hash_: np.ndarray, n: int) -> np.ndarray:
