@@ -12,6 +12,7 @@ from turnloom.llm import (
     cover_tree,
     html_text,
     line_crf,
+    ngram_trie,
     packing,
     piece_codec,
     simhash,
@@ -114,6 +115,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.select("doc_id", line_crf.judge(field).alias("r")).select("doc_id", "r.*")
 
 
+@query
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_trie.score(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")

@@ -335,6 +335,17 @@ def _without(text: pa.Array, spans: pa.Array) -> pa.Array:
     )
 
 
+def _with_kept(docs: DataFrame, window: int, mini: int) -> DataFrame:
+    spans = (
+        repeated_spans(docs, window, mini)
+        .groupBy("uid")
+        .agg(F.collect_list(F.struct("begin", "stop")).alias("spans"))
+    )
+    without = F.arrow_udf(_without, "kept string, n_words long, n_removed long")
+    # at most one row per uid on either side
+    return docs.join(spans, "uid", "left").withColumn("out", without("text", "spans"))
+
+
 def remove_repeats(
     df: DataFrame,
     id_col: str = "doc_id",
@@ -351,16 +362,29 @@ def remove_repeats(
     same rows in the same partitions each time, as a stored table does; other columns are ignored.
     ``uid`` is the row's place there (``monotonically_increasing_id``).
     """
-    docs = _numbered(df, id_col, text_col)
-    spans = (
-        repeated_spans(docs, window, mini)
-        .groupBy("uid")
-        .agg(F.collect_list(F.struct("begin", "stop")).alias("spans"))
+    found = _with_kept(_numbered(df, id_col, text_col), window, mini)
+    return found.select("uid", F.col("doc").alias(id_col), "out.kept", "out.n_words", "out.n_removed")
+
+
+def with_kept_text(
+    df: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    window: int = WINDOW,
+    mini: int = MINI,
+) -> DataFrame:
+    """``df`` with each text replaced by what ``remove_repeats`` keeps of it."""
+    row = F.struct(*[F.col(c) for c in df.columns]).alias("row")
+    docs = df.select(
+        F.monotonically_increasing_id().alias("uid"),
+        F.col(id_col).cast("long").alias("doc"),
+        F.col(text_col).alias("text"),
+        row,
     )
-    without = F.arrow_udf(_without, "kept string, n_words long, n_removed long")
-    # at most one row per uid on either side
-    return (
-        docs.join(spans, "uid", "left")
-        .withColumn("out", without("text", "spans"))
-        .select("uid", F.col("doc").alias(id_col), "out.kept", "out.n_words", "out.n_removed")
+    found = _with_kept(docs, window, mini)
+    return found.select(
+        *[
+            F.col("out.kept").alias(c) if c == text_col else F.col("row").getField(c).alias(c)
+            for c in df.columns
+        ]
     )
