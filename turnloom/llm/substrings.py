@@ -28,8 +28,8 @@ MINI = 3
 HOT_RUNS = 4096
 HOT_MINIMISERS = 1 << 20
 # Bytes of packed strings per bucket, about; and bytes of text packed together.
-BUCKET_BYTES = 12 << 20
-PACK_BYTES = 8 << 20
+BUCKET_BYTES = 8 << 20
+PACK_BYTES = 4 << 20
 
 _SPANS = "uid long, begin long, stop long"
 
