@@ -240,12 +240,15 @@ def _shard_of(vocabulary: Vocabulary, v: np.ndarray, part: np.ndarray) -> np.nda
 
 
 def _packed(*columns: np.ndarray) -> bytes:
-    """Integer columns, the first sorted and stored as steps."""
+    """Integer columns, the first sorted and stored as steps; bytes of equal weight together."""
     columns = (np.diff(columns[0], prepend=0), *columns[1:])
     head = struct.pack(f"<B{len(columns)}Q", len(columns), *map(len, columns))
     kinds = ("<i8", *["<u4"] * (len(columns) - 1))
-    body = b"".join(c.astype(k).tobytes() for c, k in zip(columns, kinds))
-    return zstandard.ZstdCompressor(level=1).compress(head + body)
+    planes = (
+        np.ascontiguousarray(c.astype(k)).view(np.uint8).reshape(len(c), -1).T.tobytes()
+        for c, k in zip(columns, kinds)
+    )
+    return zstandard.ZstdCompressor(level=3).compress(head + b"".join(planes))
 
 
 def _unpacked(blob: bytes) -> list[np.ndarray]:
@@ -254,10 +257,11 @@ def _unpacked(blob: bytes) -> list[np.ndarray]:
     sizes = struct.unpack_from(f"<{n}Q", data, 1)
     at, out = 1 + 8 * n, []
     for i, size in enumerate(sizes):
-        kind = "<i8" if not i else "<u4"
-        column = np.frombuffer(data, kind, size, at)
-        at += column.nbytes
-        out.append(np.cumsum(column) if not i else column.astype(np.int64))
+        width = 4 if i else 8
+        planes = np.frombuffer(data, np.uint8, size * width, at).reshape(width, size)
+        column = np.ascontiguousarray(planes.T).view("<u4" if i else "<i8").ravel()
+        at += size * width
+        out.append(column.astype(np.int64) if i else np.cumsum(column))
     return out
 
 
@@ -447,7 +451,7 @@ def _asked(docs: DataFrame, shared) -> DataFrame:
                     kinds, n = np.unique(key[own], return_counts=True)
                     docs_, place = np.unique(owner[own], return_inverse=True)
                     blob = _packed(kinds, n, place, times[own])
-                    rows.append((int(shard[own[0]]), blob, uid[lo + docs_].tobytes()))
+                    rows.append((int(shard[own[0]]), blob, _packed(uid[lo + docs_])))
                 yield _batch(rows, "shard blob uids", [pa.int64(), pa.binary(), pa.binary()])
 
     return docs.select("uid", "text").mapInArrow(ask, "shard long, blob binary, uids binary")
@@ -475,7 +479,7 @@ def _answered(models: DataFrame, asked: DataFrame, shared) -> DataFrame:
                     p = log_p1[key & _MASK]
                 else:
                     p = trie.score(key, log_p1)
-                owner = np.frombuffer(owners, np.int64)
+                (owner,) = _unpacked(owners)
                 uids.append(owner)
                 sums.append(np.bincount(place, np.repeat(p, n) * times, len(owner)))
             if uids:
