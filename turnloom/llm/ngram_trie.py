@@ -76,17 +76,23 @@ def ef_decode(data: memoryview | bytes, at: int = 0) -> tuple[np.ndarray, int]:
 
 
 def quantise(values: np.ndarray) -> bytes:
-    """Numbers as 16-bit steps between the least and the greatest."""
-    low = float(values.min()) if len(values) else 0.0
-    step = (float(values.max()) - low) / 65535 if len(values) else 0.0
-    codes = np.round((values - low) / step) if step else np.zeros(len(values))
-    return struct.pack("<Qdd", len(values), low, step) + codes.astype("<u2").tobytes()
+    """Numbers as one byte each: 256 bins with as many values in each, told by their means."""
+    n = len(values)
+    order = np.argsort(values, kind="stable")
+    ranked = values[order]
+    # equal values share a bin
+    edges = np.unique(ranked[np.arange(256) * n // 256]) if n else np.zeros(1)
+    codes = np.searchsorted(edges, values, side="right") - 1
+    means = np.bincount(codes, values, len(edges)) / np.maximum(1, np.bincount(codes, minlength=len(edges)))
+    return struct.pack("<QQ", n, len(edges)) + means.astype("<f8").tobytes() + codes.astype(np.uint8).tobytes()
 
 
 def dequantise(data: memoryview | bytes, at: int) -> tuple[np.ndarray, int]:
-    n, low, step = struct.unpack_from("<Qdd", data, at)
-    at += struct.calcsize("<Qdd")
-    return low + step * np.frombuffer(data, "<u2", n, at), at + 2 * n
+    n, bins = struct.unpack_from("<QQ", data, at)
+    at += struct.calcsize("<QQ")
+    means = np.frombuffer(data, "<f8", bins, at)
+    at += means.nbytes
+    return means[np.frombuffer(data, np.uint8, n, at)], at + n
 
 
 def _find(sequence: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -245,7 +251,7 @@ def _packed(*columns: np.ndarray) -> bytes:
     head = struct.pack(f"<B{len(columns)}Q", len(columns), *map(len, columns))
     kinds = ("<i8", *["<u4"] * (len(columns) - 1))
     planes = (
-        np.ascontiguousarray(c.astype(k)).view(np.uint8).reshape(len(c), -1).T.tobytes()
+        np.ascontiguousarray(c.astype(k)).view(np.uint8).reshape(len(c), int(k[2])).T.tobytes()
         for c, k in zip(columns, kinds)
     )
     return zstandard.ZstdCompressor(level=3).compress(head + b"".join(planes))
@@ -341,35 +347,40 @@ def vocabulary_of(counts: DataFrame) -> tuple[Vocabulary, dict]:
 def _models(docs: DataFrame, shared) -> DataFrame:
     """``(shard, model)``: the tries, one row each."""
 
+    def trigrams(batch):
+        """The distinct trigrams of a block of texts and how often they occur."""
+        texts = as_bytes(batch.column(0))
+        for lo, hi in text_blocks(texts, BLOCK_BYTES):
+            key = []
+            for a, b in text_blocks(texts[lo:hi]):
+                value, first = tokens(texts[lo + a : lo + b])
+                key.append(_keys(_ids(shared.value, value), first))
+            yield np.unique(np.concatenate(key), return_counts=True)
+
+    def message(kind: int, shard: np.ndarray, key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        order = np.lexsort((key, shard))
+        rows = [
+            (kind, int(shard[order[a]]), _packed(key[order[a:b]], n[order[a:b]]))
+            for a, b in _cuts(shard[order])
+        ]
+        return _batch(rows, "kind shard blob", [pa.int32(), pa.int64(), pa.binary()])
+
     def count(batches):
+        for batch in batches:
+            for key, n in trigrams(batch):
+                yield message(0, _shard(shared.value, key), key, n)
+
+    def count_split(batches):
+        """Bigrams of contexts that are split: whole, to be dealt to every part."""
         vocabulary = shared.value
         for batch in batches:
-            texts = as_bytes(batch.column(0))
-            for lo, hi in text_blocks(texts, BLOCK_BYTES):
-                key = []
-                for a, b in text_blocks(texts[lo:hi]):
-                    value, first = tokens(texts[lo + a : lo + b])
-                    key.append(_keys(_ids(vocabulary, value), first))
-                key, n = np.unique(np.concatenate(key), return_counts=True)
-                shard = _shard(vocabulary, key)
-                order = np.lexsort((key, shard))
-                rows = [
-                    (0, int(shard[order[a]]), _packed(key[order[a:b]], n[order[a:b]]))
-                    for a, b in _cuts(shard[order])
-                ]
-                # bigrams of contexts that are split: whole, to be dealt to every part
+            for key, n in trigrams(batch):
                 wide = vocabulary.parts[key >> 2 * ID_BITS] > 1
-                if wide.any():
-                    pair = (key[wide] >> 2 * ID_BITS) << ID_BITS | key[wide] & _MASK
-                    own = np.argsort(pair, kind="stable")
-                    pair, total = _summed(pair[own], n[wide][own])
-                    place = (mix(pair.astype(np.uint64)) % np.uint64(vocabulary.shards)).astype(np.int64)
-                    own = np.lexsort((pair, place))
-                    rows += [
-                        (1, int(place[own[a]]), _packed(pair[own[a:b]], total[own[a:b]]))
-                        for a, b in _cuts(place[own])
-                    ]
-                yield _batch(rows, "kind shard blob", [pa.int32(), pa.int64(), pa.binary()])
+                pair = (key[wide] >> 2 * ID_BITS) << ID_BITS | key[wide] & _MASK
+                own = np.argsort(pair, kind="stable")
+                pair, total = _summed(pair[own], n[wide][own])
+                place = mix(pair.astype(np.uint64)) % np.uint64(vocabulary.shards)
+                yield message(1, place.astype(np.int64), pair, total)
 
     def gather(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         parts = [_unpacked(b) for b in table["blob"].to_pylist()]
@@ -392,13 +403,7 @@ def _models(docs: DataFrame, shared) -> DataFrame:
         first = np.ones(len(own), bool)
         first[1:] = (np.diff(shard[own]) != 0) | (np.diff(row[own]) != 0)
         own = own[first]
-        rows = [
-            (1, int(shard[own[a]]), _packed(pair[row[own[a:b]]], n[row[own[a:b]]]))
-            for a, b in _cuts(shard[own])
-        ]
-        return pa.Table.from_batches(
-            [_batch(rows, "kind shard blob", [pa.int32(), pa.int64(), pa.binary()])]
-        )
+        return pa.Table.from_batches([message(1, shard[own], pair[row[own]], n[row[own]])])
 
     def make(table: pa.Table) -> pa.Table:
         kind = table["kind"].to_numpy()
@@ -408,16 +413,12 @@ def _models(docs: DataFrame, shared) -> DataFrame:
         return pa.table({"shard": table["shard"].slice(0, 1), "model": pa.array([model], pa.binary())})
 
     schema = "kind int, shard long, blob binary"
-    counted = cut_lineage(
-        docs.filter("not held_out").select("text").mapInArrow(count, schema)
-    )
-    pairs = counted.filter("kind = 1").groupBy("shard").applyInArrow(deal, schema)
-    return (
-        counted.filter("kind = 0")
-        .unionByName(pairs)
-        .groupBy("shard")
-        .applyInArrow(make, "shard long, model binary")
-    )
+    texts = docs.filter("not held_out").select("text")
+    counted = texts.mapInArrow(count, schema)
+    if (shared.value.parts > 1).any():
+        split_ = texts.mapInArrow(count_split, schema)
+        counted = counted.unionByName(split_.groupBy("shard").applyInArrow(deal, schema))
+    return counted.groupBy("shard").applyInArrow(make, "shard long, model binary")
 
 
 def _asked(docs: DataFrame, shared) -> DataFrame:
