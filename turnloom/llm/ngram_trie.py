@@ -20,6 +20,7 @@ sums per text come back.
 from __future__ import annotations
 
 import struct
+from tempfile import SpooledTemporaryFile
 from typing import NamedTuple
 
 import numpy as np
@@ -37,7 +38,9 @@ RARE, BEGIN, FIRST_ID = 0, 1, 2
 DISCOUNT = 0.75
 # Training tokens of one shard, about. A middle word with more is split by the word before it.
 SHARD_TOKENS = 1 << 20
-BLOCK_BYTES = 10 << 20
+BLOCK_BYTES = 6 << 20
+# Packed messages of a shard that wait in memory.
+SPOOL_BYTES = 64 << 20
 # The hash that stands for the end of a text, counted as a token.
 END = np.uint64(0x5851F42D4C957F2D)
 _MASK = np.int64((1 << ID_BITS) - 1)
@@ -344,55 +347,83 @@ def vocabulary_of(counts: DataFrame) -> tuple[Vocabulary, dict]:
     return Vocabulary(value, n, np.log10(p1), parts, shards), facts
 
 
-def _models(docs: DataFrame, shared) -> DataFrame:
-    """``(shard, model)``: the tries, one row each."""
+_MESSAGE = "shard long, block long, texts binary, blob binary"
+_MESSAGE_KINDS = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
 
-    def trigrams(batch):
-        """The distinct trigrams of a block of texts and how often they occur."""
-        texts = as_bytes(batch.column(0))
-        for lo, hi in text_blocks(texts, BLOCK_BYTES):
-            key = []
-            for a, b in text_blocks(texts[lo:hi]):
-                value, first = tokens(texts[lo + a : lo + b])
-                key.append(_keys(_ids(shared.value, value), first))
-            yield np.unique(np.concatenate(key), return_counts=True)
 
-    def message(kind: int, shard: np.ndarray, key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+def _blocks(batch, shared):
+    """Blocks of texts: their place in the batch, trigrams, and the text each belongs to."""
+    texts = as_bytes(batch["text"])
+    for lo, hi in text_blocks(texts, BLOCK_BYTES):
+        keys, owners = [], []
+        for a, b in text_blocks(texts[lo:hi]):
+            value, first = tokens(texts[lo + a : lo + b])
+            keys.append(_keys(_ids(shared.value, value), first))
+            owners.append(np.repeat(np.arange(lo + a, lo + b), np.diff(first)))
+        yield lo, np.concatenate(keys), np.concatenate(owners)
+
+
+def _asked(docs: DataFrame, shared) -> DataFrame:
+    """Messages to shards: the distinct trigrams of a block of texts, how often texts to learn
+    from hold each, and which texts hold it how often."""
+
+    def ask(batches):
+        vocabulary = shared.value
+        for batch in batches:
+            uid = batch["uid"].to_numpy()
+            learned = ~batch["held_out"].to_numpy(zero_copy_only=False)
+            for lo, key, owner in _blocks(batch, shared):
+                order = np.lexsort((owner, key))
+                key, owner = key[order], owner[order]
+                # equal trigrams of one text are one entry, with a number
+                fresh = np.ones(len(key), bool)
+                fresh[1:] = (np.diff(key) != 0) | (np.diff(owner) != 0)
+                at = np.flatnonzero(fresh)
+                times = np.diff(np.append(at, len(key)))
+                key, owner = key[at], owner[at]
+                shard = _shard(vocabulary, key)
+                order = np.argsort(shard, kind="stable")
+                rows = []
+                for a, b in _cuts(shard[order]):
+                    own = order[a:b]
+                    kinds, begin, n = np.unique(key[own], return_index=True, return_counts=True)
+                    seen = np.add.reduceat(times[own] * learned[owner[own]], begin)
+                    texts, place = np.unique(owner[own], return_inverse=True)
+                    blob = _packed(kinds, n, seen, place, times[own])
+                    rows.append((int(shard[own[0]]), int(uid[lo]), _packed(uid[texts]), blob))
+                yield _batch(rows, "shard block texts blob", _MESSAGE_KINDS)
+
+    return docs.select("uid", "held_out", "text").mapInArrow(ask, _MESSAGE)
+
+
+def _split_pairs(docs: DataFrame, shared) -> DataFrame:
+    """Messages with the bigrams of contexts that are split, for each of their shards.
+
+    Counted whole first, so that every part of a context knows all its successors.
+    """
+
+    def message(shard: np.ndarray, key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
         order = np.lexsort((key, shard))
         rows = [
-            (kind, int(shard[order[a]]), _packed(key[order[a:b]], n[order[a:b]]))
+            (int(shard[order[a]]), None, None, _packed(key[order[a:b]], n[order[a:b]]))
             for a, b in _cuts(shard[order])
         ]
-        return _batch(rows, "kind shard blob", [pa.int32(), pa.int64(), pa.binary()])
+        return _batch(rows, "shard block texts blob", _MESSAGE_KINDS)
 
     def count(batches):
-        for batch in batches:
-            for key, n in trigrams(batch):
-                yield message(0, _shard(shared.value, key), key, n)
-
-    def count_split(batches):
-        """Bigrams of contexts that are split: whole, to be dealt to every part."""
         vocabulary = shared.value
         for batch in batches:
-            for key, n in trigrams(batch):
-                wide = vocabulary.parts[key >> 2 * ID_BITS] > 1
-                pair = (key[wide] >> 2 * ID_BITS) << ID_BITS | key[wide] & _MASK
-                own = np.argsort(pair, kind="stable")
-                pair, total = _summed(pair[own], n[wide][own])
+            for _, key, _ in _blocks(batch, shared):
+                key = key[vocabulary.parts[key >> 2 * ID_BITS] > 1]
+                pair, n = np.unique(
+                    (key >> 2 * ID_BITS) << ID_BITS | key & _MASK, return_counts=True
+                )
                 place = mix(pair.astype(np.uint64)) % np.uint64(vocabulary.shards)
-                yield message(1, place.astype(np.int64), pair, total)
-
-    def gather(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        parts = [_unpacked(b) for b in table["blob"].to_pylist()]
-        none = [np.zeros(0, np.int64)]
-        key = np.concatenate(none + [p[0] for p in parts])
-        n = np.concatenate(none + [p[1] for p in parts])
-        order = np.argsort(key, kind="stable")
-        return _summed(key[order], n[order])
+                yield message(place.astype(np.int64), pair, n)
 
     def deal(table: pa.Table) -> pa.Table:
         vocabulary = shared.value
-        pair, n = gather(table)
+        pair, n = _gathered([_unpacked(b) for b in table["blob"].to_pylist()])
         v = pair >> ID_BITS
         times = vocabulary.parts[v]
         row = np.repeat(np.arange(len(pair)), times)
@@ -403,99 +434,106 @@ def _models(docs: DataFrame, shared) -> DataFrame:
         first = np.ones(len(own), bool)
         first[1:] = (np.diff(shard[own]) != 0) | (np.diff(row[own]) != 0)
         own = own[first]
-        return pa.Table.from_batches([message(1, shard[own], pair[row[own]], n[row[own]])])
+        return pa.Table.from_batches([message(shard[own], pair[row[own]], n[row[own]])])
 
-    def make(table: pa.Table) -> pa.Table:
-        kind = table["kind"].to_numpy()
-        key3, count3 = gather(table.filter(pa.array(kind == 0)))
-        key2, count2 = gather(table.filter(pa.array(kind == 1)))
-        model = build(key3, count3, key2, count2, shared.value.log_p1)
-        return pa.table({"shard": table["shard"].slice(0, 1), "model": pa.array([model], pa.binary())})
+    return (
+        docs.filter("not held_out")
+        .select("text")
+        .mapInArrow(count, _MESSAGE)
+        .groupBy("shard")
+        .applyInArrow(deal, _MESSAGE)
+    )
 
-    schema = "kind int, shard long, blob binary"
-    texts = docs.filter("not held_out").select("text")
-    counted = texts.mapInArrow(count, schema)
-    if (shared.value.parts > 1).any():
-        split_ = texts.mapInArrow(count_split, schema)
-        counted = counted.unionByName(split_.groupBy("shard").applyInArrow(deal, schema))
-    return counted.groupBy("shard").applyInArrow(make, "shard long, model binary")
 
+def _gathered(parts: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of counts by key over many messages."""
+    none = [np.zeros(0, np.int64)]
+    key = np.concatenate(none + [p[0] for p in parts])
+    n = np.concatenate(none + [p[1] for p in parts])
+    order = np.argsort(key, kind="stable")
+    return _summed(key[order], n[order])
 
-def _asked(docs: DataFrame, shared) -> DataFrame:
-    """``(shard, blob)``: the distinct trigrams of blocks of texts, with the texts' uids."""
 
-    def ask(batches):
-        vocabulary = shared.value
-        for batch in batches:
-            uid = batch["uid"].to_numpy()
-            texts = as_bytes(batch["text"])
-            for lo, hi in text_blocks(texts, BLOCK_BYTES):
-                keys, owners = [], []
-                for a, b in text_blocks(texts[lo:hi]):
-                    value, first = tokens(texts[lo + a : lo + b])
-                    keys.append(_keys(_ids(vocabulary, value), first))
-                    owners.append(np.repeat(np.arange(a, b), np.diff(first)))
-                key, owner = np.concatenate(keys), np.concatenate(owners)
-                order = np.lexsort((owner, key))
-                key, owner = key[order], owner[order]
-                # equal trigrams of one text are one entry, with a number
-                fresh = np.ones(len(key), bool)
-                fresh[1:] = (np.diff(key) != 0) | (np.diff(owner) != 0)
-                at = np.flatnonzero(fresh)
-                times = np.diff(np.append(at, len(key)))
-                key, owner = key[at], owner[at]
-                shard = _shard(vocabulary, key)
-                order = np.argsort(shard, kind="stable")
-                rows = []
-                for a, b in _cuts(shard[order]):
-                    own = order[a:b]
-                    kinds, n = np.unique(key[own], return_counts=True)
-                    docs_, place = np.unique(owner[own], return_inverse=True)
-                    blob = _packed(kinds, n, place, times[own])
-                    rows.append((int(shard[own[0]]), blob, _packed(uid[lo + docs_])))
-                yield _batch(rows, "shard blob uids", [pa.int64(), pa.binary(), pa.binary()])
+class _Shard:
+    """One shard in its task: first all messages are learned from, then all are scored.
 
-    return docs.select("uid", "text").mapInArrow(ask, "shard long, blob binary, uids binary")
+    Between the two, messages wait packed; those of a very large shard wait in a scratch file of
+    the task, so that memory holds the distinct n-grams of the shard and no more.
+    """
 
+    def __init__(self) -> None:
+        self.pairs: list = []
+        self.triples: list = []
+        self.held = 0
+        self.waiting = SpooledTemporaryFile(max_size=SPOOL_BYTES)
+
+    def learn(self, block: int | None, texts: bytes | None, blob: bytes) -> None:
+        columns = _unpacked(blob)
+        if block is None:
+            self.pairs.append(columns)
+            return
+        key, seen = columns[0], columns[2]
+        self.triples.append([key[seen > 0], seen[seen > 0]])
+        self.held += len(self.triples[-1][0])
+        if self.held > 4 * SHARD_TOKENS:
+            self.triples = [list(_gathered(self.triples))]
+            self.held = 0
+        self.waiting.write(struct.pack("<qII", block, len(texts), len(blob)) + texts + blob)
+
+    def answers(self, log_p1: np.ndarray):
+        """``(block, texts, sums)`` of each message."""
+        trie = Trie(build(*_gathered(self.triples), *_gathered(self.pairs), log_p1))
+        self.triples = self.pairs = []
+        self.waiting.seek(0)
+        while head := self.waiting.read(16):
+            block, texts, size = struct.unpack("<qII", head)
+            texts = self.waiting.read(texts)
+            key, n, _, place, times = _unpacked(self.waiting.read(size))
+            p = np.repeat(trie.score(key, log_p1), n) * times
+            yield block, texts, np.bincount(place, p).astype("<f8").tobytes()
+        self.waiting.close()
+
+
+def _answered(docs: DataFrame, shared) -> DataFrame:
+    """``(uid, score)``: the log10 probability of each text in trigrams of ids."""
+    messages = _asked(docs, shared)
+    if (shared.value.parts > 1).any():
+        messages = messages.unionByName(_split_pairs(docs, shared))
 
-def _answered(models: DataFrame, asked: DataFrame, shared) -> DataFrame:
-    """``(uid, score)``: sums of log10 probabilities, several rows per uid.
+    def answer(batches):
+        current, shard = None, None
+        names, kinds = "block texts sums", [pa.int64(), pa.binary(), pa.binary()]
 
-    A task reads a shard's trie first and then the blocks of trigrams that ask it, one by one.
-    """
+        def done():
+            if shard is not None:
+                rows = []
+                for row in shard.answers(shared.value.log_p1):
+                    rows.append(row)
+                    if len(rows) == 64:
+                        yield _batch(rows, names, kinds)
+                        rows = []
+                yield _batch(rows, names, kinds)
 
-    def answer(batches):
-        log_p1 = shared.value.log_p1
-        current, trie = None, None
         for batch in batches:
-            uids, sums = [], []
-            for shard, model, blob, owners in zip(*(batch[c].to_pylist() for c in ("shard", "model", "blob", "uids"))):
-                if shard != current:
-                    current, trie = shard, None
-                if model is not None:
-                    trie = Trie(model)
-                    continue
-                key, n, place, times = _unpacked(blob)
-                if trie is None:  # nothing was learned for this shard
-                    p = log_p1[key & _MASK]
-                else:
-                    p = trie.score(key, log_p1)
-                (owner,) = _unpacked(owners)
-                uids.append(owner)
-                sums.append(np.bincount(place, np.repeat(p, n) * times, len(owner)))
-            if uids:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(uids)), pa.array(np.concatenate(sums))],
-                    names=["uid", "score"],
-                )
+            for number, block, texts, blob in zip(*(batch[c].to_pylist() for c in ("shard", "block", "texts", "blob"))):
+                if number != current:
+                    yield from done()
+                    current, shard = number, _Shard()
+                shard.learn(block, texts, blob)
+        yield from done()
+
+    def add(table: pa.Table) -> pa.Table:
+        texts = np.concatenate([_unpacked(b)[0] for b in table["texts"].to_pylist()])
+        sums = np.frombuffer(b"".join(table["sums"].to_pylist()), "<f8")
+        uid, place = np.unique(texts, return_inverse=True)
+        return pa.table({"uid": uid, "score": np.bincount(place, sums)})
 
-    rows = models.select(
-        "shard", "model", F.lit(None).cast("binary").alias("blob"), F.lit(None).cast("binary").alias("uids")
-    ).unionByName(asked.select("shard", F.lit(None).cast("binary").alias("model"), "blob", "uids"))
     return (
-        rows.repartition("shard")
-        .sortWithinPartitions("shard", F.col("model").isNull())
-        .mapInArrow(answer, "uid long, score double")
+        messages.repartition("shard")
+        .sortWithinPartitions("shard")
+        .mapInArrow(answer, "block long, texts binary, sums binary")
+        .groupBy("block")  # the messages of one block of texts, from all shards
+        .applyInArrow(add, "uid long, score double")
     )
 
 
@@ -561,7 +599,7 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     vocabulary, facts = vocabulary_of(counts)
     shared = spark.sparkContext.broadcast(vocabulary)  # bounded by VOCABULARY
 
-    sums = _answered(_models(docs, shared), _asked(docs, shared), shared)
+    sums = _answered(docs, shared)
     singles = _singles(docs, shared)
     rare = (
         singles.filter("word is not null")
