@@ -37,8 +37,8 @@ VOCABULARY = (1 << ID_BITS) - 2
 RARE, BEGIN, FIRST_ID = 0, 1, 2
 DISCOUNT = 0.75
 # Training tokens of one shard, about. A middle word with more is split by the word before it.
-SHARD_TOKENS = 1 << 20
-BLOCK_BYTES = 6 << 20
+SHARD_TOKENS = 1 << 19
+BLOCK_BYTES = 4 << 20
 # Packed messages of a shard that wait in memory.
 SPOOL_BYTES = 64 << 20
 # The hash that stands for the end of a text, counted as a token.
