@@ -705,9 +705,11 @@ def process_responses(spark, d):
 
 
 @query(
-    with_views("nested")
+    with_views("nested", "matched")
     + CONTENT_SQL
-    + " SELECT custom_id, 'invalid JSON' AS error, content FROM content WHERE n = 4"
+    + """ SELECT custom_id, 'invalid JSON' AS error, content FROM content WHERE n = 4
+    UNION ALL SELECT custom_id, 'no metadata', content FROM content
+    WHERE n <> 4 AND custom_id NOT IN (SELECT custom_id FROM matched)"""
 )
 def rejected_responses(spark, d):
     _, rejects = jobs.process_responses(envelopes(spark, d), metadata(spark, d))

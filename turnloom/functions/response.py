@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from turnloom.functions.text import as_column, let, unfence_json
 from turnloom.schemas import CONVERSATION
 
+# No JSON text holds this character unescaped.
+_OPENING = "\x01"
+
+
+def allow_repeated_keys(spark: SparkSession) -> None:
+    """Let the session's parser take the last of repeated keys, as JSON readers commonly do."""
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+
 
 def _has(v: Column, path: str) -> Column:
     return F.try_variant_get(v, path, "variant").isNotNull()
@@ -108,7 +116,10 @@ def repair_json(content: Column | str) -> Column:
     text = F.replace(text, F.lit('\\"'), F.lit('"'))
     text = F.regexp_replace(text, r'([^\\])\\([^"\\/bfnrtu])', r"$1\\\\$2")
     text = F.regexp_replace(text, r'([}\]])(\s*+)(?=["{\[])', "$1,$2")
-    text = F.regexp_replace(text, r'"(?<![:,\[{]\s{0,9}")(\s++)(?=["{\[])', '",$1')
+    # a quote behind a colon, comma or bracket opens a value; it stands aside meanwhile
+    text = F.regexp_replace(text, r'([:,\[{]\s*+)"', f"$1{_OPENING}")
+    text = F.regexp_replace(text, rf'"(\s++)(?=["{_OPENING}{{\[])', '",$1')
+    text = F.replace(text, F.lit(_OPENING), F.lit('"'))
     text = F.regexp_replace(text, r",(\s*[\]}])", "$1")
 
     def closed(text: Column) -> Column:

@@ -91,9 +91,15 @@ def attach_by_prefix(
 
 
 def attach_any(
-    responses: DataFrame, meta: DataFrame, order: str = "line_no", ids: DataFrame | None = None
+    responses: DataFrame,
+    meta: DataFrame,
+    order: str = "line_no",
+    ids: DataFrame | None = None,
+    how: str = "inner",
 ) -> DataFrame:
-    """``attach_metadata``, and ``attach_by_prefix`` for the rest; others are dropped.
+    """``attach_metadata``, and ``attach_by_prefix`` for the rest.
+
+    Others are dropped, or stay without a ``matched_id`` when ``how`` is left.
 
     Which metadata an id gets is settled on ids alone (``ids``, where they can be had at
     less cost than the responses), so the responses themselves move once.
@@ -101,7 +107,7 @@ def attach_any(
     own = last_metadata(meta, order).drop("first_line")
     own = own.withColumn("matched_id", F.col("custom_id"))
     other = _by_prefix(responses if ids is None else ids, meta, order)
-    return lookup_join(responses, own.unionByName(other), "custom_id", "inner")
+    return lookup_join(responses, own.unionByName(other), "custom_id", how)
 
 
 def coalesce_metadata(df: DataFrame) -> DataFrame:
@@ -189,7 +195,9 @@ def new_combinations(
     others = [c for c in candidates.columns if c not in (template, subs)]
     fresh = key(candidates, *others)
     if others:
-        fresh = fresh.groupBy(template, "_pairs").agg(*[F.first(c).alias(c) for c in others])
+        # one copy as a whole, the same in every run
+        least = F.min(F.struct(*others)).alias("_least")
+        fresh = fresh.groupBy(template, "_pairs").agg(least).select(template, "_pairs", "_least.*")
     else:
         fresh = fresh.distinct()
     fresh = fresh.join(key(done).distinct(), [template, "_pairs"], "left_anti")

@@ -88,11 +88,12 @@ def put_back(
 ) -> DataFrame:
     """Put texts back at the paths ``translatable_strings`` found them at.
 
-    ``translations`` has ``(key, path, text)``; a place without one keeps its text. The
-    texts of one row, no more than the row held, come to it as a map.
+    ``translations`` has ``(key, path, text)``; a place without one keeps its text, and of
+    several for one place the smallest is taken. The texts of one row, no more than the row held, come to it as a map.
     """
     allowed = [c for c in cols if c not in skip]
-    texts = translations.groupBy(key).agg(
+    one = translations.groupBy(key, "path").agg(F.min("text").alias("text"))
+    texts = one.groupBy(key).agg(
         F.map_from_entries(F.collect_list(F.struct("path", "text"))).alias("_texts")
     )
 

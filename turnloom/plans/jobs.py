@@ -18,6 +18,7 @@ from turnloom.functions.response import (
     repair_json,
     response_body,
     strict_json,
+    allow_repeated_keys,
 )
 from turnloom.functions.text import (
     fully_corrected,
@@ -153,11 +154,15 @@ def sample_picks(substitutions: DataFrame, seed: int, name: str = "system") -> C
     return F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")
 
 
-def read_responses(lines: DataFrame, line: str = "value") -> DataFrame:
+def read_responses(
+    lines: DataFrame, line: str = "value", keep_content: bool = False
+) -> DataFrame:
     """Parse response lines: ids, conversation, and a status of ok, recovered or error.
 
     A row that cannot be used keeps its whole content and says why; no row fails the job.
+    With ``keep_content`` usable rows keep theirs too.
     """
+    allow_repeated_keys(lines.sparkSession)
     others = [c for c in lines.columns if c not in (line, "id", "custom_id")]
     envelope = _computed(
         _computed(lines.select(*others, line), _v=strict_json(line)),
@@ -180,6 +185,7 @@ def read_responses(lines: DataFrame, line: str = "value") -> DataFrame:
         F.when(~F.coalesce(named, F.lit(False)), "missing custom_id")
         .when(F.col("_content").isNull(), "no content")
         .when(parsed.isNull(), "invalid JSON")
+        .when(parsed["conversation"].isNull(), "no conversation")
     )
     status = (
         F.when(F.col("error").isNotNull(), "error")
@@ -189,7 +195,7 @@ def read_responses(lines: DataFrame, line: str = "value") -> DataFrame:
     return (
         rows.withColumn("error", error)
         .withColumn("status", status)
-        .withColumn("content", F.when(error.isNotNull(), F.coalesce("_content", line)))
+        .withColumn("content", F.when(error.isNotNull() | F.lit(keep_content), F.coalesce("_content", line)))
         .withColumn("_parsed", F.when(error.isNull(), parsed))
         .select(
             *others, "id", "custom_id", "response_model", "status", "error", "content", "_parsed.*"
@@ -212,15 +218,20 @@ def process_responses(
     """Stored conversations with their metadata, and the rejected rows.
 
     Metadata comes from the same id, else from the first id of which one is a prefix of
-    the other; a conversation without any is dropped.
+    the other; a conversation without any is rejected. Every line is stored or rejected.
     """
-    rows = read_responses(lines, line)
+    rows = read_responses(lines, line, keep_content=True)
     rejects = rows.filter(F.col("status") == "error").select("id", "custom_id", "error", "content")
-    good = rows.filter(F.col("status") != "error").drop("error", "content")
+    good = rows.filter(F.col("status") != "error").drop("error")
     known = [c for c in meta.columns if c not in ("custom_id", order)]
     own = meta.select("custom_id", order, *[F.col(c).alias(f"meta_{c}") for c in known])
     ids = lines.select(F.get_json_object(line, "$.custom_id").alias("custom_id"))
-    joined = attach_any(good, own, order, ids.filter(F.length("custom_id") > 0))
+    every = attach_any(good, own, order, ids.filter(F.length("custom_id") > 0), how="left")
+    alone = F.col("matched_id").isNull()
+    rejects = rejects.unionByName(
+        every.filter(alone).select("id", "custom_id", F.lit("no metadata").alias("error"), "content")
+    )
+    joined = every.filter(~alone).drop("content")
     carried = joined.withColumn("metadata", F.struct(*[F.col(f"meta_{c}").alias(c) for c in known]))
     stored = coalesce_metadata(carried).drop(*[f"meta_{c}" for c in known])
     return strip_partner_intended(fill_intended(stored)), rejects

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from turnloom.functions.response import strict_json
+from turnloom.functions.response import allow_repeated_keys, strict_json
 from turnloom.schemas import TRIPLE
 
 _BAD = "_corrupt"
@@ -23,6 +23,7 @@ def read_jsonl_tolerant(
     spark: SparkSession, path: str | list[str], schema: T.StructType
 ) -> tuple[DataFrame, DataFrame]:
     """Good rows, and the text of bad lines with their file; blank lines are skipped."""
+    allow_repeated_keys(spark)
     lines = spark.read.text(path).filter(F.trim("value") != "")
     parsed = lines.select(
         F.col("_metadata.file_path").alias("path"),
@@ -105,14 +106,19 @@ def read_triples(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Head, relation and tail of every three-field line, trimmed; other lines are dropped."""
     with_bad = T.StructType([*TRIPLE.fields, T.StructField(_BAD, T.StringType())])
     paths = [paths] if isinstance(paths, str) else _existing(spark, paths)
+    options = {
+        "sep": "\t",
+        "quote": '"',
+        "escape": '"',
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": _BAD,
+    }
+    # parsed whole, so that a line is judged by all its fields whichever are selected later
     rows = (
-        spark.read.schema(with_bad)
-        .option("sep", "\t")
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _BAD)
-        .csv(paths)
+        spark.read.text(paths)
+        .filter(F.trim("value") != "")
+        .select(F.from_csv("value", with_bad.toDDL(), options).alias("_row"))
+        .select("_row.*")
     )
     trimmed = [
         F.regexp_replace(F.coalesce(F.col(c), F.lit("")), r"(?U)^\s+|\s+$", "").alias(c)
@@ -136,9 +142,9 @@ def _existing(spark: SparkSession, paths: Sequence[str]) -> list[str]:
 
 
 def language_of(path: Column, lang_from: str = "name") -> Column:
-    """Language of a file: after the last ``_`` of its name, or its folder's name."""
+    """Language of a file: its name from the last ``_`` to the dot, or its folder's name."""
     if lang_from == "name":
-        stem = F.regexp_extract(path, r"_([^_/.]*)\.[^_/]*$", 1)
+        stem = F.regexp_extract(path, r"(?:^|[_/])([^_/.]*)(?:\.[^_/]*)?$", 1)
         return F.when(stem != "", stem).otherwise("unknown")
     return F.regexp_extract(path, r"([^/]+)/[^/]+$", 1)
 
@@ -148,11 +154,14 @@ def read_corpus(
 ) -> DataFrame:
     """Conversations of all matching files with their language and their place.
 
+    A bad line fails the read.
+
     ``_file``, ``_block`` and ``_line`` order the rows as in the files: blocks of a large
     file are read apart, and lines count within a block.
     """
     rows = (
         spark.read.schema(schema)
+        .option("mode", "FAILFAST")
         .json(glob)
         .select(
             "*",
