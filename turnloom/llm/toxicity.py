@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from turnloom.llm.words import as_bytes, mix, prefix_hashes, split, text_blocks
 
 # The sample of labelled documents for training: a bound, not a share.
-TRAIN_DOCUMENTS = 8000
+TRAIN_DOCUMENTS = 6000
 BITS = 22
 # Bytes of word beginnings that are features too: a word is often met in other forms.
 PREFIXES = (4, 5, 6, 7)
@@ -30,6 +30,7 @@ FEATURES = 200
 # A word counts for a category when enough of its documents have it (not just copies of a few)
 # and the difference is beyond chance.
 MIN_SHARE = 0.03
+MIN_DOCUMENTS = 4
 MIN_Z = 6
 PENALTY = 0.02
 THRESHOLD = 0.5
@@ -57,7 +58,7 @@ def word_numbers(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
 
 def _chosen(doc: np.ndarray, word: np.ndarray, label: np.ndarray) -> np.ndarray:
     """The words whose document frequency differs most between the two classes."""
-    size = 1 << BITS
+    size = int(word.max(initial=0)) + 1
     positive, negative = label.sum(), len(label) - label.sum()
     with_word = np.bincount(word, minlength=size)
     in_positive = np.bincount(word, label[doc], size)
@@ -197,11 +198,19 @@ def fit(
             name: Link(none.astype(np.int64), none, np.zeros(i), -30.0)
             for i, name in enumerate(categories)
         }
-    found = [np.frombuffer(r["words"], np.uint32).astype(np.int64) for r in rows]
-    doc = np.repeat(np.arange(len(rows)), [len(f) for f in found])
+    sizes = [len(r["words"]) // 4 for r in rows]
     y = np.array([[r[f"y{i}"] for i in range(len(named))] for r in rows])
     fold = (mix(np.array([r["id"] for r in rows], np.int64).view(np.uint64)) % np.uint64(FOLDS)).astype(int)
-    return dict(zip(categories, train(doc, np.concatenate(found), y, fold)))
+    word = np.frombuffer(b"".join(r["words"] for r in rows), np.uint32)
+    doc = np.repeat(np.arange(len(rows), dtype=np.int32), sizes)
+    del rows
+    # what fewer documents have than any feature needs is left out before the arrays grow
+    often = np.bincount(word, minlength=1 << BITS).astype(np.int32) >= MIN_DOCUMENTS
+    keep = often[word]
+    doc, word = doc[keep], (np.cumsum(often, dtype=np.int32) - 1)[word[keep]]
+    numbers = np.flatnonzero(often)
+    chain = train(doc, word, y, fold)
+    return {n: link._replace(words=numbers[link.words]) for n, link in zip(categories, chain)}
 
 
 def probabilities(chain: dict[str, Link], text: str | Column = "text") -> Column:
