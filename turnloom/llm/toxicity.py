@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from turnloom.llm.words import as_bytes, mix, prefix_hashes, split, text_blocks
 
 # The sample of labelled documents for training: a bound, not a share.
-TRAIN_DOCUMENTS = 6000
+TRAIN_DOCUMENTS = 4000
 BITS = 22
 # Bytes of word beginnings that are features too: a word is often met in other forms.
 PREFIXES = (4, 5, 6, 7)
