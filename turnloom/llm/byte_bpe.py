@@ -8,6 +8,7 @@ differently) and texts that hold the string of an added token go to the library
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -25,9 +26,8 @@ CACHE = 1_200_000
 SLICE = 1 << 19
 
 _cut = regex.compile(PATTERN)
-_odd = regex.compile(rf"[^{PLAIN}]")
+_odd = re.compile(rf"[^{PLAIN}]")
 _gap = regex.compile(r"(?<=\S)\s")
-_blank = regex.compile(r"[^\S \n]")
 
 
 @lru_cache(maxsize=4)
@@ -93,17 +93,16 @@ class Vocabulary:
 
     def _fill(self, out: list[list], held: list[tuple[int, list[str]]]) -> None:
         found = [list(map(self.memory.get, cut)) for _, cut in held]
-        fresh = {p for (_, cut), got in zip(held, found) if None in got
-                 for p, value in zip(cut, got) if value is None}
-        if fresh:
-            names = list(fresh)
+        holes = [
+            [at for at, value in enumerate(got) if value is None] if None in got else ()
+            for got in found
+        ]
+        names = list({cut[at] for (_, cut), own in zip(held, holes) for at in own})
+        if names:
             fresh = dict(zip(names, self.resolve(names)))
-            found = [
-                [fresh[p] if value is None else value for p, value in zip(cut, got)]
-                if None in got
-                else got
-                for (_, cut), got in zip(held, found)
-            ]
+            for (_, cut), got, own in zip(held, found, holes):
+                for at in own:
+                    got[at] = fresh[cut[at]]
             if len(self.memory) + len(fresh) > CACHE:
                 self.memory = {}
             self.memory.update(fresh)
@@ -112,12 +111,13 @@ class Vocabulary:
 
 
 def pieces(part: str) -> list[str]:
-    """Parts between which there is always a cut."""
+    """Parts of a plain text between which there is always a cut."""
     if (
         any(x in part for x in ("  ", "\n\n", " \n", "\n "))
         or part[0].isspace()
         or part[-1].isspace()
-        or _blank.search(part)
+        or "\t" in part
+        or "\r" in part
     ):
         return _cut.findall(part)
     # a blank or line end goes with the word behind it
