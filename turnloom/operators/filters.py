@@ -7,9 +7,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from turnloom.functions.prompts import prompt_of
-from turnloom.operators.scale import number_rows
 
 # Relations kept by default.
 RELATIONS = (
@@ -41,9 +41,6 @@ KEYWORDS = (
 )
 # fmt: on
 
-# Up to this many rows a sorted limit is cheap; beyond it rows are numbered.
-SORTED_LIMIT_ROWS = 10_000
-
 
 def filter_relations(df: DataFrame, allowed: Sequence[str] = RELATIONS) -> DataFrame:
     return df.filter(F.col("relation").isin(*allowed))
@@ -87,12 +84,20 @@ def to_entries(
 
 
 def limit_entries(df: DataFrame, n: int | None, order: Sequence[str]) -> DataFrame:
-    """The first ``n`` rows in input order; 0 or None keeps all."""
+    """The first ``n`` rows in input order; 0 or None keeps all.
+
+    Rows that ``order`` leaves equal follow their other columns, so the choice among them is
+    the same in every run.
+    """
     if not n:
         return df
-    if n <= SORTED_LIMIT_ROWS:
-        return df.orderBy(*order).limit(n)
-    return number_rows(df, order, "_number").filter(F.col("_number") < n).drop("_number")
+    named = [c for c in order if isinstance(c, str)]
+    ties = [
+        f.name
+        for f in df.schema.fields
+        if f.name not in named and not isinstance(f.dataType, (T.MapType, T.VariantType))
+    ]
+    return df.orderBy(*order, *ties).limit(n)
 
 
 def aac_turns(turns: DataFrame) -> DataFrame:

@@ -9,12 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnloom.functions.text import as_column
-from turnloom.operators.scale import (
-    BROADCAST_ROWS,
-    hash_cutoff,
-    hash_order,
-    number_by_hash,
-)
+from turnloom.operators.scale import hash_cutoff, hash_order, lookup_join, number_by_hash
 
 
 def draw(key: Sequence[Column | str], name: str, seed: int, count: int) -> Column:
@@ -52,14 +47,12 @@ def pick_rows(
 ) -> DataFrame:
     """The row of ``df`` that each drawn index points at.
 
-    Few rows drawn many times would be hot keys, so a counted small table is broadcast;
-    a large one spreads the draws evenly over its rows.
+    Few rows drawn many times are hot keys, which ``lookup_join`` lets adaptive execution split;
+    whether the table is broadcast is Spark's choice by its size.
     """
     numbered = number_by_hash(df, key, index, seed=seed)
-    if size <= BROADCAST_ROWS:
-        numbered = F.broadcast(numbered)
     others = [c for c in draws.columns if c != index]
-    return draws.join(numbered, index).select(*others, *df.columns)
+    return lookup_join(draws, numbered, index, "inner").select(*others, *df.columns)
 
 
 def split_exact(df: DataFrame, key: Sequence[str], test: float = 0.2, seed: int = 0) -> DataFrame:

@@ -18,8 +18,6 @@ from pyspark.sql import functions as F
 
 from turnloom.functions.text import as_column
 
-# Tables counted to be at most this long may be broadcast.
-BROADCAST_ROWS = 100_000
 # Buckets of the hash order, one hex digit each: 16 ** 4.
 _BUCKET_DIGITS = 4
 _SMALL_BUCKET = 10_000
@@ -49,12 +47,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Repartition only when the scan gives fewer partitions than there are cores."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)
+def spread(df: DataFrame, *keys: str, partitions: int | None = None) -> DataFrame:
+    """Repartition, for costly work on a table whose scan gives too few tasks.
+
+    Without a number of partitions it is that of the session's shuffles.
+    """
+    if partitions is None:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(partitions, *keys)
 
 
 def lookup_join(
@@ -111,8 +111,6 @@ def number_rows(
             F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"),
         )
     )
-    if offsets.count() <= BROADCAST_ROWS:
-        offsets = F.broadcast(offsets)
     same = [F.col(c).eqNullSafe(F.col(alias)) for c, alias in group.items()]
     number = F.col("_offset") + (F.col("_place") - F.col("_first")) + F.lit(start)
     return placed.join(offsets, [F.col("_part") == F.col("_of_part"), *same], "inner").select(

@@ -1,10 +1,10 @@
 """Conversations and their turns: exploding, context, next turn, flat examples.
 
 Two shapes come in. A *nested* conversation is one row with an array of turns; its
-operators are projections without a shuffle. A *turns* table has one row per turn, where
-``turn_number`` is the 0-based place in the conversation; there, one conversation may
-hold a large share of all rows, so windows run over blocks of a conversation instead of
-the whole of it, and the few rows at a block's edge are copied to the neighbouring block.
+operators are projections without a shuffle. A *turns* table has one row per turn, ordered by
+``turn_number``; there, one conversation may hold a large share of all rows, so windows run
+over blocks of a conversation instead of the whole of it, and a block takes what it lacks
+from the few rows at the edges of the blocks around it.
 """
 
 from __future__ import annotations
@@ -16,8 +16,10 @@ from turnloom.operators.filters import aac_turns
 from turnloom.operators.scale import number_rows
 from turnloom.schemas import FLAT_COLUMNS
 
-# Turns per window block.
+# Turn numbers per window block; no result depends on it.
 BLOCK_TURNS = 4096
+# The block of turns without a number, before all others.
+_NO_NUMBER = -(1 << 62)
 
 
 def _text(c: Column) -> Column:
@@ -36,38 +38,78 @@ def with_surroundings(
     turns: DataFrame, n: int = 3, context: bool = True, following: bool = True,
     block: int = BLOCK_TURNS,
 ) -> DataFrame:
-    """Add the previous ``n`` and the next turn, both over all turns, in one shuffle."""
-    if n > block:
-        raise ValueError("a block must hold at least the context")
-    turn, home = F.col("turn_number"), F.floor(F.col("turn_number") / block)
-    place = turn - home * block
-    copies = F.array_compact(
-        F.array(
-            home,
-            F.when(place >= block - n, home + 1) if context else F.lit(None).cast("long"),
-            F.when((place == 0) & (home > 0), home - 1) if following else F.lit(None).cast("long"),
-        )
+    """Add the previous ``n`` and the next turn, both over all turns, in one shuffle of them.
+
+    Turns are taken in the order of their numbers, which may have gaps; turns without a number
+    come first. Each block also gives its first turn and its last ``n``, by rank; a block
+    takes the rest of its context and its last next turn from these. Only conversations
+    with turns in several blocks give such edges, and at most ``n + 1`` rows a block.
+    """
+    home = F.coalesce(F.floor(F.col("turn_number") / block), F.lit(_NO_NUMBER))
+    parts = ["_id", "_no_id", "_block"]
+    placed = (
+        turns.withColumn("_id", _text(F.col("conversation_id").cast("string")))
+        .withColumn("_no_id", F.col("conversation_id").isNull())
+        .withColumn("_block", home)
     )
-    w = Window.partitionBy("conversation_id", "_block").orderBy("turn_number")
+    w = Window.partitionBy(*parts).orderBy("turn_number")
     said = F.struct(
         _text(F.col("speaker")).alias("speaker"), _text(F.col("utterance")).alias("utterance")
     )
-    around = []
-    if context:
-        around.append(F.collect_list(said).over(w.rowsBetween(-n, -1)).alias("_context"))
-    if following:
-        around.append(F.lead(said, 1).over(w).alias("_next"))
-    out = turns.withColumn("_block", F.explode(copies)).select("*", *around)
-    out = out.filter(F.col("_block") == home)
+    several = placed.filter(F.col("_block") != 0).select("_id", "_no_id").distinct()
+    ranked = placed.join(several, ["_id", "_no_id"], "left_semi").select(
+        *parts,
+        said.alias("_said"),
+        F.row_number().over(w).alias("_rank"),
+        F.count(F.lit(1)).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_rows"),
+    )
+    edges = (
+        ranked.filter((F.col("_rank") == 1) | (F.col("_rank") > F.col("_rows") - n))
+        .groupBy(*parts)
+        .agg(
+            F.min_by("_said", "_rank").alias("_first"),
+            F.sort_array(
+                F.collect_list(
+                    F.when(F.col("_rank") > F.col("_rows") - n, F.struct("_rank", "_said"))
+                )
+            ).alias("_last"),
+        )
+    )
+    blocks = Window.partitionBy("_id", "_no_id").orderBy("_block")
+    edges = edges.select(
+        *parts,
+        F.flatten(F.collect_list(F.col("_last._said")).over(blocks.rowsBetween(-n, -1))).alias("_before"),
+        F.lead("_first", 1).over(blocks).alias("_after"),
+    )
+    around = [
+        F.collect_list(said).over(w.rowsBetween(-n, -1)).alias("_own"),
+        F.lead(said, 1).over(w).alias("_own_next"),
+    ]
+    # the join is on the window's own partitioning, so the turns do not move again
+    out = placed.select("*", *around).join(edges, parts, "left")
     if context:
-        out = out.withColumn("context_speakers", F.col("_context.speaker")).withColumn(
-            "context_utterances", F.col("_context.utterance")
+        both = F.when(
+            F.col("_before").isNull() | (F.size("_own") >= n), F.col("_own")
+        ).otherwise(F.concat("_before", "_own"))
+        last = F.slice(both, F.greatest(F.size(both) - n, F.lit(0)) + 1, n) if n else F.slice(both, 1, 0)
+        out = (
+            out.withColumn("_context", last)
+            .withColumn("context_speakers", F.col("_context.speaker"))
+            .withColumn("context_utterances", F.col("_context.utterance"))
         )
     if following:
-        out = out.withColumn("next_turn_speaker", _text(F.col("_next.speaker"))).withColumn(
-            "next_turn_utterance", _text(F.col("_next.utterance"))
+        out = (
+            out.withColumn("_next", F.coalesce("_own_next", "_after"))
+            .withColumn("next_turn_speaker", _text(F.col("_next.speaker")))
+            .withColumn("next_turn_utterance", _text(F.col("_next.utterance")))
         )
-    return out.drop("_block", "_context", "_next")
+    return out.drop(
+        *parts, "_own", "_own_next", "_before", "_after", "_context", "_next"
+    ).select(
+        *turns.columns,
+        *(["context_speakers", "context_utterances"] if context else []),
+        *(["next_turn_speaker", "next_turn_utterance"] if following else []),
+    )
 
 
 def with_context(turns: DataFrame, n: int = 3, block: int = BLOCK_TURNS) -> DataFrame:
