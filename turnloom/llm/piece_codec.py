@@ -9,6 +9,7 @@ fallback to bytes. Before it is used it is held against SentencePiece itself on
 from __future__ import annotations
 
 import os
+import re
 import struct
 from array import array
 from collections.abc import Iterator
@@ -24,6 +25,11 @@ MARK = "▁"
 THREADS = "2"
 # Texts encoded together, in characters.
 BATCH_CHARS = 1 << 20
+# Words whose ids a worker remembers, and the longest of them in characters.
+KEPT_WORDS = 1 << 18
+KEPT_CHARS = 64
+
+WORD = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
 # Kinds of pieces and of models in the message.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -120,6 +126,11 @@ def merges(pieces: list[tuple[str, float, int]]) -> list[tuple[str, str]]:
     ]
 
 
+def parts_at_marks(model: Model) -> bool:
+    """Whether no piece goes on behind a marker: a text's ids are then those of its words."""
+    return not any(MARK in p.lstrip(MARK) for p, _, kind in model.pieces if kind == NORMAL)
+
+
 def rebuild(model: Model) -> Tokenizer:
     unknown = next(i for i, (_, _, kind) in enumerate(model.pieces) if kind == UNKNOWN)
     if model.kind == UNIGRAM:
@@ -150,10 +161,8 @@ def rebuild(model: Model) -> Tokenizer:
     if model.escape:
         steps.append(normalizers.Replace(" ", MARK))
     tokenizer.normalizer = normalizers.Sequence(steps)
-    if not any(MARK in p.lstrip(MARK) for p, _, kind in model.pieces if kind == NORMAL):
-        # no piece goes on behind a marker, so words part there and equal ones are merged once
-        words = Regex(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-        tokenizer.pre_tokenizer = pre_tokenizers.Split(words, "isolated")
+    if parts_at_marks(model):
+        tokenizer.pre_tokenizer = pre_tokenizers.Split(Regex(WORD.pattern), "isolated")
     back = [decoders.Replace(MARK, " ")] if model.escape else []
     if model.byte_fallback:
         back.append(decoders.ByteFallback())
@@ -164,34 +173,97 @@ def rebuild(model: Model) -> Tokenizer:
     return tokenizer
 
 
+class Codec:
+    """The rebuilt tokenizer, and the ids of words that a worker met before.
+
+    Where words part at the markers, a batch goes to the tokenizer as its distinct new words;
+    what is remembered is bounded and forgotten as a whole.
+    """
+
+    def __init__(self, model: Model):
+        self.tokenizer = rebuild(model)
+        self.plain = model.escape and not (model.charsmap or model.squeeze)
+        self.prefix = MARK if model.dummy_prefix else ""
+        self.by_word = model.escape and parts_at_marks(model)
+        self.words = Tokenizer(self.tokenizer.model)
+        self.kept: dict[str, bytes] = {}
+        self.blank = " " if model.escape else MARK
+        self.strip = model.dummy_prefix
+        self.pieces = [
+            bytes([int(p[3:5], 16)])
+            if kind == BYTE and model.byte_fallback
+            else p.replace(MARK, self.blank).encode()
+            for p, _, kind in model.pieces
+        ]
+
+    def _words(self, text: str) -> list[str]:
+        if self.plain and "  " not in text and MARK not in text and text[:1] != " ":
+            words = text.replace(" ", f" {MARK}").split(" ")
+            words[0] = self.prefix + words[0]
+            return words if text else []
+        if self.plain:
+            return WORD.findall(self.prefix + text.replace(" ", MARK)) if text else []
+        return WORD.findall(self.tokenizer.normalizer.normalize_str(text))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        if not self.by_word:
+            return _ids(self.tokenizer, texts)
+        words = [self._words(t) for t in texts]
+        wanted = {w for own in words for w in own}
+        if len(self.kept) + len(wanted) > KEPT_WORDS:
+            self.kept = {}
+        known = self.kept
+        new = list(wanted.difference(known))
+        known.update(zip(new, _ids(self.words, new)))
+        out = [b"".join(map(known.__getitem__, own)) for own in words]
+        for word in new:
+            if len(word) > KEPT_CHARS:
+                del known[word]
+        return out
+
+    def decode(self, ids: bytes) -> str:
+        """The pieces put together; the library mends bytes that are no text."""
+        numbers = array("I", ids)
+        try:
+            text = b"".join(map(self.pieces.__getitem__, numbers)).decode()
+        except (IndexError, UnicodeDecodeError):
+            return self.tokenizer.decode(numbers.tolist(), skip_special_tokens=False)
+        return text[1:] if self.strip and text[:1] == " " else text
+
+
+def _ids(tokenizer: Tokenizer, texts: list[str]) -> list[bytes]:
+    found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    return [array("I", x.ids).tobytes() for x in found]
+
+
 def verify(path: str, texts: tuple[str, ...] | list[str] = PROBES) -> None:
     """Raise where ids or decoded texts differ from SentencePiece's."""
     import sentencepiece
 
     own = sentencepiece.SentencePieceProcessor(model_file=path)
-    tokenizer = load(path)
-    for text in texts:
-        ids = tokenizer.encode(text, add_special_tokens=False).ids
+    codec = load(path)
+    for text, found in zip(texts, codec.encode(list(texts))):
+        ids = array("I", found).tolist()
         expected = own.encode(text)
         if ids != expected:
             raise ValueError(f"ids differ for {text[:60]!r}")
-        if tokenizer.decode(ids, skip_special_tokens=False) != own.decode(expected):
+        if codec.decode(found) != own.decode(expected):
             raise ValueError(f"decoded texts differ for {text[:60]!r}")
 
 
 @lru_cache(maxsize=4)
-def load(path: str) -> Tokenizer:
+def load(path: str) -> Codec:
     """The rebuilt tokenizer; one per worker, which keeps it between tasks."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
     os.environ.setdefault("RAYON_NUM_THREADS", THREADS)
     with open(path, "rb") as file:
-        return rebuild(parse(file.read()))
+        return Codec(parse(file.read()))
 
 
-def _batches(values: list, size) -> Iterator[tuple[int, int]]:
+def _batches(values: list[str]) -> Iterator[tuple[int, int]]:
     start = total = 0
     for i, value in enumerate(values):
-        total += size(value)
+        total += len(value)
         if total >= BATCH_CHARS:
             yield start, i + 1
             start, total = i + 1, 0
@@ -209,11 +281,10 @@ def encode(path: str, text: str | Column = "text") -> Column:
 
     @F.arrow_udf("binary")
     def ids(column: pa.Array) -> pa.Array:
-        tokenizer, out = load(path), []
+        codec, out = load(path), []
         texts = [t or "" for t in column.to_pylist()]
-        for a, b in _batches(texts, len):
-            found = tokenizer.encode_batch_fast(texts[a:b], add_special_tokens=False)
-            out.extend(array("I", x.ids).tobytes() for x in found)
+        for a, b in _batches(texts):
+            out.extend(codec.encode(texts[a:b]))
         return pa.array(out, pa.binary())
 
     return ids(F.col(text) if isinstance(text, str) else text)
@@ -224,13 +295,8 @@ def decode(path: str, ids: str | Column = "ids") -> Column:
 
     @F.arrow_udf("string")
     def text(column: pa.Array) -> pa.Array:
-        tokenizer, out = load(path), []
-        values = column.to_pylist()
-        for a, b in _batches(values, lambda v: len(v or b"")):
-            found = tokenizer.decode_batch(
-                [array("I", v or b"").tolist() for v in values[a:b]], skip_special_tokens=False
-            )
-            out.extend(None if v is None else t for v, t in zip(values[a:b], found))
+        codec = load(path)
+        out = [None if v is None else codec.decode(v) for v in column.to_pylist()]
         return pa.array(out, pa.string())
 
     return text(F.col(ids) if isinstance(ids, str) else ids)
