@@ -87,9 +87,7 @@ def test_samples(spark):
     assert len(counts) == 100 and sum(counts) == 250 and all(r.v == 2 * r.id for r in filled.collect())
 
 
-@pytest.mark.parametrize("broadcast_rows", [100_000, 1])
-def test_cross_sample(spark, monkeypatch, broadcast_rows):
-    monkeypatch.setattr(sampling, "BROADCAST_ROWS", broadcast_rows)
+def test_cross_sample(spark):
     templates = spark.createDataFrame([(0, "t0"), (1, "t1")], "template_id int, template string")
     entries = spark.createDataFrame([(i, f"e{i}") for i in range(10)], "pos int, topic string")
     subs = spark.createDataFrame([("tone", ["a", "b"]), ("none", [])], "key string, values array<string>")

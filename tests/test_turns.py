@@ -147,13 +147,41 @@ def test_kg_filters(spark):
     assert len(filters.KEYWORDS) == 100 and len(set(filters.KEYWORDS)) == 97
 
 
-def test_limit_both_ways(spark, monkeypatch):
+def test_limit_takes_the_first_rows(spark):
     df = spark.range(100).withColumn("pos", 99 - F.col("id")).repartition(4)
     assert filters.limit_entries(df, 0, ["pos"]).count() == 100
-    small = {r.pos for r in filters.limit_entries(df, 30, ["pos"]).collect()}
-    monkeypatch.setattr(filters, "SORTED_LIMIT_ROWS", 5)
-    large = {r.pos for r in filters.limit_entries(df, 30, ["pos"]).collect()}
-    assert small == large == set(range(30))
+    assert {r.pos for r in filters.limit_entries(df, 30, ["pos"]).collect()} == set(range(30))
+    tied = df.withColumn("pos", F.lit(1))
+    for parts in (1, 7):
+        kept = filters.limit_entries(tied.repartition(parts), 10, ["pos"]).collect()
+        assert {r.id for r in kept} == set(range(10))
+
+
+@pytest.mark.parametrize("block", [1, 2, 4, 4096])
+def test_gaps_and_missing_numbers(spark, block):
+    numbers = {
+        "gaps": [3, 5, 4096, 4097, 9000, 20_000],
+        "none": [None, 0, 1, 7, 8],
+        "one": [70_000],
+        None: [2, 4100],
+    }
+    rows = [(c, n, "s", f"{c}-{n}") for c, ns in numbers.items() for n in ns]
+    df = spark.createDataFrame(
+        rows, "conversation_id string, turn_number int, speaker string, utterance string"
+    ).repartition(3)
+    for n in (0, 1, 3):
+        got = {
+            (r.conversation_id, r.turn_number): (r.context_utterances, r.next_turn_utterance)
+            for r in t.with_surroundings(df, n, block=block).collect()
+        }
+        assert got == {
+            (c, x): (
+                [f"{c}-{y}" for y in ns[max(0, i - n) : i]],
+                f"{c}-{ns[i + 1]}" if i + 1 < len(ns) else "",
+            )
+            for c, ns in numbers.items()
+            for i, x in enumerate(ns)
+        }
 
 
 def test_generator_language_and_locale_filters(spark):
