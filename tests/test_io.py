@@ -231,3 +231,12 @@ def test_resume_goes_by_key(spark):
     work = spark.range(10)
     done = spark.createDataFrame([(i,) for i in (0, 3, 9)], "id long")
     assert sorted(r.id for r in resume(work, done, "id").collect()) == [1, 2, 4, 5, 6, 7, 8]
+
+
+def test_csv_takes_whole_objects(spark, tmp_path):
+    (tmp_path / "in.jsonl").write_text(
+        '{"a": 1, "b": "x"}\n{"a": 2} junk\n[1]\n{"a": {"k": 1, "k": 2}}\n'
+    )
+    writers.jsonl_to_csv(spark, f"{tmp_path}/in.jsonl", f"{tmp_path}/out")
+    got = spark.read.option("header", True).option("escape", '"').csv(f"{tmp_path}/out").collect()
+    assert [(r.a, r.b) for r in got] == [("1", "x"), ('{"k":2}', None)]

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from turnloom.functions.response import allow_repeated_keys, strict_json
 
 _NESTED = (T.ArrayType, T.MapType, T.StructType)
 
@@ -52,23 +53,27 @@ def write_csv_flat(
 
 
 def jsonl_to_csv(spark: SparkSession, src: str, dst: str) -> None:
-    """Convert JSON lines: the first record's keys make the header, bad lines are skipped."""
+    """Convert JSON lines: the first record's keys make the header, bad lines are skipped.
+
+    The first record is that of the first file by name. A line counts only as one whole object.
+    """
+    allow_repeated_keys(spark)
     lines = spark.read.text(src).filter(F.trim("value") != "")
-    first = lines.first()
+    place = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start")]
+    first = lines.orderBy(*place, F.monotonically_increasing_id()).select("value").first()
     if first is None:
         return
     keys = spark.range(1).select(F.json_object_keys(F.lit(first["value"]))).first()[0]
     if keys is None:
         raise ValueError("the first line is not a JSON object")
-    values = F.from_json("value", "map<string, variant>", {"mode": "PERMISSIVE"})
-    is_object = F.json_object_keys("value").isNotNull()
+    row = F.try_variant_get(strict_json("value"), "$", "map<string, variant>")
     cells = []
-    for key in keys:
+    for key in dict.fromkeys(keys):
         cell = F.try_element_at("_row", F.lit(key))
         text = F.when(F.schema_of_variant(cell) == "STRING", cell.cast("string"))
         null = F.schema_of_variant(cell) == "VOID"
         cells.append(F.when(~null, F.coalesce(text, F.to_json(cell))).alias(key))
-    rows = lines.filter(is_object).select(values.alias("_row")).select(*cells)
+    rows = lines.select(row.alias("_row")).filter(F.col("_row").isNotNull()).select(*cells)
     write_csv_flat(rows, dst)
 
 
