@@ -16,7 +16,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnloom.llm.words import Words, as_bytes, chained, hashes, mix, split, text_blocks
@@ -205,11 +205,16 @@ def _first_equal_words(words: Words, place, window: int) -> np.ndarray:
 # --- Spark
 
 
-def _numbered(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return df.select(
-        F.monotonically_increasing_id().alias("uid"),
-        F.col(id_col).cast("long").alias("doc"),
-        F.col(text_col).alias("text"),
+def _numbered(df: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
+    """Rows with a number, stored: a later plan of the scan could cut it otherwise and number
+    other rows alike."""
+    return cut_lineage(
+        df.select(
+            F.monotonically_increasing_id().alias("uid"),
+            F.col(id_col).cast("long").alias("doc"),
+            F.col(text_col).alias("text"),
+            *more,
+        )
     )
 
 
@@ -358,9 +363,8 @@ def remove_repeats(
     A word is removed when it lies in a window whose words also start earlier: in a document with
     a smaller id, or before it in the same one; windows are judged on the input. Kept words are
     joined by one space. A null text has no words and is kept as an empty one. A null id comes
-    after all others; rows that share an id come in the order of the rows. ``df`` must give the
-    same rows in the same partitions each time, as a stored table does; other columns are ignored.
-    ``uid`` is the row's place there (``monotonically_increasing_id``).
+    after all others; rows that share an id come in the order of the rows. ``df`` is read once and
+    stored with ``uid``, the row's place in that reading; other columns are ignored.
     """
     found = _with_kept(_numbered(df, id_col, text_col), window, mini)
     return found.select("uid", F.col("doc").alias(id_col), "out.kept", "out.n_words", "out.n_removed")
@@ -374,14 +378,9 @@ def with_kept_text(
     mini: int = MINI,
 ) -> DataFrame:
     """``df`` with each text replaced by what ``remove_repeats`` keeps of it."""
-    row = F.struct(*[F.col(c) for c in df.columns]).alias("row")
-    docs = df.select(
-        F.monotonically_increasing_id().alias("uid"),
-        F.col(id_col).cast("long").alias("doc"),
-        F.col(text_col).alias("text"),
-        row,
-    )
-    found = _with_kept(docs, window, mini)
+    others = [F.col(c) for c in df.columns if c != text_col]
+    row = [F.struct(*others).alias("row")] if others else []
+    found = _with_kept(_numbered(df, id_col, text_col, *row), window, mini)
     return found.select(
         *[
             F.col("out.kept").alias(c) if c == text_col else F.col("row").getField(c).alias(c)
