@@ -1,9 +1,10 @@
 """What the second review found, each as a case that failed before."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from turnloom.llm import substrings
+from turnloom.llm import ngram_trie, substrings
 
 
 def test_spans_stay_with_their_rows_when_the_scan_is_cut_anew(spark, shared_folder):
@@ -23,3 +24,33 @@ def test_spans_stay_with_their_rows_when_the_scan_is_cut_anew(spark, shared_fold
         spark.conf.unset("spark.sql.files.minPartitionNum")
     want = {i: f"own{i}" if i % 3 == 0 and i else t for i, t in rows}
     assert got == [want, want]
+
+
+@pytest.mark.parametrize("shard", [1 << 19, 20])
+def test_words_without_ids_keep_their_own_ngrams(spark, shared_folder, monkeypatch, shard):
+    # the same words in other order: one id for all words without ids could not tell them apart
+    rows = [(i, " ".join(f"w{(i * k + j) % 17}" for j in range(9)) + f" only{i}") for i, k in zip(range(60), [1, 3, 5] * 20)]
+    path = f"{shared_folder}/own-ngrams-{shard}"
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(path)
+    monkeypatch.setattr(ngram_trie, "SHARD_TOKENS", shard)
+    docs = spark.read.parquet(path)
+    full = {r.doc_id: r for r in ngram_trie.score(docs).collect()}
+    for size in (0, 5) if shard > 20 else (12,):
+        monkeypatch.setattr(ngram_trie, "VOCABULARY", size)
+        for r in ngram_trie.score(docs).collect():
+            want = full[r.doc_id]
+            assert r[:5] == want[:5]
+            assert r.base_score == pytest.approx(want.base_score)
+            assert abs(r.score - want.score) < 0.02 * r.n_tokens
+
+
+def test_tries_of_very_many_words_are_the_same():
+    rng = np.random.default_rng(7)
+    v, u, w = rng.integers(2, 9, (3, 500))
+    n, none = np.ones(500, np.int64), np.zeros(0, np.int64)
+    log_p1 = np.log10(np.full(9, 0.1))
+    got = []
+    for bits in (20, 25):
+        data = ngram_trie.build_wide(v << bits | u, w, n, none, none, log_p1, bits)
+        got.append(ngram_trie.Trie(data, bits).score_wide(v, u, w, log_p1))
+    assert (got[0] == got[1]).all()

@@ -1,8 +1,10 @@
 """Trigram language-model scores from tries in Elias-Fano levels.
 
-Words are counted exactly. The most frequent ones, at most ``VOCABULARY``, have ids of their own;
-the rest share the id ``RARE`` in n-grams and are told apart by their own counts, so that every
-word has a probability. N-grams are dealt into shards by their middle word v; a shard's trie has
+Words are counted exactly, and every word keeps its own n-grams. The most frequent ones, at most
+``VOCABULARY``, have ids as a shorter code; any other word is coded by its hash, which a message
+lists once, and brings its count to the shards that ask for it. Which words have ids changes the
+size of messages and no probability. Each shard numbers the words it holds. N-grams are dealt
+into shards by their middle word v; a shard's trie has
 
     v                      the contexts of the shard
     v -> w                 successors, with the probability of w behind v
@@ -34,7 +36,11 @@ from turnloom.operators.scale import cut_lineage
 
 ID_BITS = 20
 VOCABULARY = (1 << ID_BITS) - 2
-RARE, BEGIN, FIRST_ID = 0, 1, 2
+BEGIN, FIRST_ID = 1, 2
+# Codes of words below are ids, the others hashes; so it is with places in a message or a shard.
+TAIL = 1 << ID_BITS
+# Bits of a word in the trigrams of a message, which lists at most TAIL hashes.
+LOCAL_BITS = ID_BITS + 1
 DISCOUNT = 0.75
 # Training tokens of one shard, about. A middle word with more is split by the word before it.
 SHARD_TOKENS = 1 << 19
@@ -43,7 +49,7 @@ BLOCK_BYTES = 4 << 20
 SPOOL_BYTES = 64 << 20
 # The hash that stands for the end of a text, counted as a token.
 END = np.uint64(0x5851F42D4C957F2D)
-_MASK = np.int64((1 << ID_BITS) - 1)
+_LOCAL = np.int64((1 << LOCAL_BITS) - 1)
 
 
 # --- Elias-Fano
@@ -109,19 +115,39 @@ def _find(sequence: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndar
 # --- a trie
 
 
+def _triples(pair, w, count, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sums of counts by ``v u`` (in ``pair``) and ``w``, in order."""
+    if 3 * bits <= 63:
+        order = np.argsort(pair << bits | w, kind="stable")
+    else:
+        order = np.lexsort((w, pair))
+    pair, w, count = pair[order], w[order], count[order]
+    if not len(pair):
+        return pair, w, count
+    fresh = np.ones(len(pair), bool)
+    fresh[1:] = (np.diff(pair) != 0) | (np.diff(w) != 0)
+    first = np.flatnonzero(fresh)
+    return pair[first], w[first], np.add.reduceat(count, first).astype(np.int64)
+
+
 def build(key3, count3, key2, count2, log_p1: np.ndarray) -> bytes:
-    """The trie of trigram counts (``v u w`` in ``key3``) and of the bigram counts ``v w`` of
+    """The trie of trigrams given as ``v u w`` of ``ID_BITS`` bits each."""
+    return build_wide(key3 >> ID_BITS, key3 & (TAIL - 1), count3, key2, count2, log_p1, ID_BITS)
+
+
+def build_wide(pair3, w3, count3, key2, count2, log_p1: np.ndarray, bits: int) -> bytes:
+    """The trie of trigram counts (``v u`` in ``pair3``) and of the bigram counts ``v w`` of
     contexts that are split over shards (``key2``); other bigrams are sums of the trigrams."""
-    order = np.argsort(key3, kind="stable")
-    key3, count3 = _summed(key3[order], count3[order])
-    split_v = np.unique(key2 >> ID_BITS)
-    v3, u3, w3 = key3 >> 2 * ID_BITS, (key3 >> ID_BITS) & _MASK, key3 & _MASK
+    mask = np.int64((1 << bits) - 1)
+    pair, w3, count3 = _triples(pair3, w3, count3, bits)
+    split_v = np.unique(key2 >> bits)
+    v3 = pair >> bits
     own = ~_find(split_v, v3)[1]
-    key2 = np.concatenate([key2, (v3 << ID_BITS | w3)[own]])
+    key2 = np.concatenate([key2, (v3 << bits | w3)[own]])
     count2 = np.concatenate([count2, count3[own]])
     order = np.argsort(key2, kind="stable")
     key2, count2 = _summed(key2[order], count2[order])
-    v2, w2 = key2 >> ID_BITS, key2 & _MASK
+    v2, w2 = key2 >> bits, key2 & mask
 
     contexts, first2 = np.unique(v2, return_index=True)
     index2 = np.searchsorted(contexts, v2)
@@ -130,15 +156,14 @@ def build(key3, count3, key2, count2, log_p1: np.ndarray) -> bytes:
     back2 = DISCOUNT * kinds2 / np.maximum(total2, 1)
     p2 = (count2 - DISCOUNT) / total2[index2] + back2[index2] * 10 ** log_p1[w2]
 
-    pair = key3 >> ID_BITS  # v u
     pairs, first3 = np.unique(pair, return_index=True)
     index3 = np.searchsorted(pairs, pair)
     total3 = np.bincount(index3, count3, len(pairs))
     back3 = DISCOUNT * np.bincount(index3, minlength=len(pairs)) / np.maximum(total3, 1)
-    place2 = np.searchsorted(key2, v3 << ID_BITS | w3)
+    place2 = np.searchsorted(key2, v3 << bits | w3)
     p3 = (count3 - DISCOUNT) / total3[index3] + back3[index3] * p2[place2]
 
-    v_of_pair = np.searchsorted(contexts, pairs >> ID_BITS)
+    v_of_pair = np.searchsorted(contexts, pairs >> bits)
     # a successor of a pair: its place among those of v, behind all places of earlier pairs
     base3 = np.concatenate([[0], np.cumsum(kinds2[v_of_pair])]).astype(np.int64)
     relative = place2 - first2[v_of_pair][index3]
@@ -146,9 +171,9 @@ def build(key3, count3, key2, count2, log_p1: np.ndarray) -> bytes:
         [
             ef_encode(contexts),
             ef_encode(np.append(first2, len(key2))),
-            ef_encode((index2 << ID_BITS) + w2),
-            ef_encode((v_of_pair << ID_BITS) + (pairs & _MASK)),
-            ef_encode(np.append(first3, len(key3))),
+            ef_encode((index2 << bits) + w2),
+            ef_encode((v_of_pair << bits) + (pairs & mask)),
+            ef_encode(np.append(first3, len(pair))),
             ef_encode(base3[index3] + relative),
             quantise(np.log10(p2)),
             quantise(np.log10(back2)),
@@ -168,7 +193,8 @@ def _summed(key: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 class Trie:
     """A trie over any buffer: bytes, or a file mapped into memory."""
 
-    def __init__(self, data: memoryview | bytes) -> None:
+    def __init__(self, data: memoryview | bytes, bits: int = ID_BITS) -> None:
+        self.bits = bits
         at, levels, numbers = 0, [], []
         for _ in range(6):
             level, at = ef_decode(data, at)
@@ -179,17 +205,20 @@ class Trie:
         self.contexts, self.first2, self.words, self.pairs, self.first3, self.triples = levels
         self.p2, self.back2, self.p3, self.back3 = numbers
         kinds = np.diff(self.first2)
-        self.base3 = np.concatenate([[0], np.cumsum(kinds[self.pairs >> ID_BITS])])
+        self.base3 = np.concatenate([[0], np.cumsum(kinds[self.pairs >> bits])])
 
     def score(self, key: np.ndarray, log_p1: np.ndarray) -> np.ndarray:
         """log10 of the probability of each trigram's last word (keys ``v u w``)."""
-        v, u, w = key >> 2 * ID_BITS, (key >> ID_BITS) & _MASK, key & _MASK
+        bits, mask = self.bits, (1 << self.bits) - 1
+        return self.score_wide(key >> 2 * bits, (key >> bits) & mask, key & mask, log_p1)
+
+    def score_wide(self, v, u, w, log_p1: np.ndarray) -> np.ndarray:
         at_v, has_v = _find(self.contexts, v)
-        at_w, has_w = _find(self.words, (at_v << ID_BITS) + w)
+        at_w, has_w = _find(self.words, (at_v << self.bits) + w)
         has_w &= has_v
         out = log_p1[w]
         out = np.where(has_w, _at(self.p2, at_w), out + np.where(has_v, _at(self.back2, at_v), 0))
-        at_u, has_u = _find(self.pairs, (at_v << ID_BITS) + u)
+        at_u, has_u = _find(self.pairs, (at_v << self.bits) + u)
         has_u &= has_v
         relative = at_w - self.first2[at_v]
         at_3, has_3 = _find(self.triples, self.base3[at_u] + relative)
@@ -208,6 +237,7 @@ class Vocabulary(NamedTuple):
     hashes: np.ndarray  # of the words with ids, sorted; id = place + FIRST_ID
     counts: np.ndarray
     log_p1: np.ndarray  # by id
+    denominator: float  # of single words' probabilities
     parts: np.ndarray  # by id: over how many shards the n-grams around it are dealt
     shards: int
 
@@ -216,32 +246,59 @@ def tokens(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of each text, its end behind them, and bounds per text."""
     words = split([(t or b"").lower() for t in texts])
     value = np.insert(hashes(words), words.first[1:], END)
+    value[value < TAIL] += np.uint64(TAIL)  # below are the ids
     return value, words.first + np.arange(len(words.first))
 
 
-def _ids(vocabulary: Vocabulary, value: np.ndarray) -> np.ndarray:
+def _codes(vocabulary: Vocabulary, value: np.ndarray) -> np.ndarray:
     at, there = _find(vocabulary.hashes, value)
-    return np.where(there, at + FIRST_ID, RARE)
+    return np.where(there, (at + FIRST_ID).astype(np.uint64), value)
+
+
+def _tail(*codes: np.ndarray) -> np.ndarray:
+    """The words without ids, sorted."""
+    return np.unique(np.concatenate([c[c >= TAIL] for c in codes]))
+
+
+def _places(codes: np.ndarray, tail: np.ndarray) -> np.ndarray:
+    """Ids, and places in ``tail`` behind them; what is not there has the place behind the last."""
+    places = codes.astype(np.int64)
+    behind = np.flatnonzero(codes >= TAIL)
+    if len(behind):
+        at, there = _find(tail, codes[behind])
+        places[behind] = TAIL + np.where(there, at, len(tail))
+    return places
+
 
+def _coded(places: np.ndarray, tail: np.ndarray) -> np.ndarray:
+    codes = places.astype(np.uint64)
+    if len(tail):
+        behind = np.flatnonzero(places >= TAIL)
+        codes[behind] = tail[places[behind] - TAIL]
+    return codes
 
-def _keys(ids: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """``v u w`` of each token; a text begins behind two ``BEGIN``."""
-    v, u = np.roll(ids, 1), np.roll(ids, 2)
+
+def _before(codes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``v`` and ``u`` of each token; a text begins behind two ``BEGIN``."""
+    v, u = np.roll(codes, 1), np.roll(codes, 2)
     starts = first[:-1]
     v[starts] = u[starts] = BEGIN
     second = starts[np.diff(first) > 1] + 1
     u[second] = BEGIN
-    return v << 2 * ID_BITS | u << ID_BITS | ids
+    return v, u
+
+
+def _parts(vocabulary: Vocabulary, v: np.ndarray) -> np.ndarray:
+    """Over how many shards the n-grams around ``v`` are dealt."""
+    return vocabulary.parts[np.where(v < TAIL, v, BEGIN - 1).astype(np.int64)]
 
 
-def _shard(vocabulary: Vocabulary, key: np.ndarray) -> np.ndarray:
-    v, u = key >> 2 * ID_BITS, (key >> ID_BITS) & _MASK
-    part = (mix(u.astype(np.uint64)) % vocabulary.parts[v].astype(np.uint64)).astype(np.int64)
-    return _shard_of(vocabulary, v, part)
+def _shard(vocabulary: Vocabulary, v: np.ndarray, u: np.ndarray) -> np.ndarray:
+    return _shard_of(vocabulary, v, mix(u) % _parts(vocabulary, v).astype(np.uint64))
 
 
 def _shard_of(vocabulary: Vocabulary, v: np.ndarray, part: np.ndarray) -> np.ndarray:
-    word = (v << 40 | part).astype(np.uint64)
+    word = np.where(v < TAIL, v << np.uint64(40) | part.astype(np.uint64), v)
     return (mix(word) % np.uint64(vocabulary.shards)).astype(np.int64)
 
 
@@ -274,6 +331,14 @@ def _unpacked(blob: bytes) -> list[np.ndarray]:
     return out
 
 
+def _halves(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return words >> np.uint64(32), words & np.uint64(0xFFFFFFFF)
+
+
+def _whole(high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    return high.astype(np.uint64) << np.uint64(32) | low.astype(np.uint64)
+
+
 def _cuts(sorted_: np.ndarray) -> list[tuple[int, int]]:
     """Ranges of equal values."""
     edges = np.flatnonzero(np.diff(sorted_)) + 1
@@ -319,7 +384,10 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def vocabulary_of(counts: DataFrame) -> tuple[Vocabulary, dict]:
-    """The words with ids (all that occur at least so often that they fit), and totals."""
+    """The words with ids (all that occur at least so often that they fit), and totals.
+
+    The others are coded by their hashes, with the same probabilities.
+    """
     spectrum = counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n"))
     # one row per distinct count, from the top until the vocabulary is full
     least, words = 1, 0
@@ -336,15 +404,14 @@ def vocabulary_of(counts: DataFrame) -> tuple[Vocabulary, dict]:
     order = np.argsort(value)
     value, n = value[order], table["n"].to_numpy()[order]
     denominator = total + 0.5 * (distinct + 1)
-    rare = (total - int(n.sum())) + 0.5 * (distinct - len(n) + 1)
-    p1 = np.concatenate([[rare, 1.0], n + 0.5]) / max(denominator, 0.5)
-    by_id = np.concatenate([[total - int(n.sum()), 0], n])
-    ends = int(n[_find(value, np.array([END]))[0][0]]) if len(n) else 0
-    by_id[BEGIN] = ends
+    p1 = np.concatenate([[1.0, 1.0], n + 0.5]) / max(denominator, 0.5)
+    at, there = _find(value, np.array([END]))
+    ends = int(n[at[0]]) if there[0] else 0
+    by_id = np.concatenate([[0, ends], n])
     parts = np.maximum(1, -(-by_id // SHARD_TOKENS)).astype(np.int64)
     shards = max(1, -(-total // SHARD_TOKENS))
-    facts = {"tokens": total, "distinct": distinct, "denominator": denominator, "rare": rare}
-    return Vocabulary(value, n, np.log10(p1), parts, shards), facts
+    facts = {"tokens": total, "distinct": distinct, "denominator": denominator}
+    return Vocabulary(value, n, np.log10(p1), max(denominator, 0.5), parts, shards), facts
 
 
 _MESSAGE = "shard long, block long, texts binary, blob binary"
@@ -352,15 +419,36 @@ _MESSAGE_KINDS = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
 
 
 def _blocks(batch, shared):
-    """Blocks of texts: their place in the batch, trigrams, and the text each belongs to."""
+    """Blocks of texts: their place in the batch, trigrams, the text each belongs to, and the
+    hashes of words that have places behind the ids."""
     texts = as_bytes(batch["text"])
     for lo, hi in text_blocks(texts, BLOCK_BYTES):
-        keys, owners = [], []
+        codes, firsts = [], [np.zeros(1, np.int64)]
         for a, b in text_blocks(texts[lo:hi]):
             value, first = tokens(texts[lo + a : lo + b])
-            keys.append(_keys(_ids(shared.value, value), first))
-            owners.append(np.repeat(np.arange(lo + a, lo + b), np.diff(first)))
-        yield lo, np.concatenate(keys), np.concatenate(owners)
+            codes.append(_codes(shared.value, value))
+            firsts.append(first[1:] + firsts[-1][-1])
+        w, first = np.concatenate(codes), np.concatenate(firsts)
+        owner = np.repeat(np.arange(lo, hi), np.diff(first))
+        tail = _tail(w)
+        if len(tail) <= TAIL:
+            w = _places(w, tail)
+            yield lo, _key(*_before(w, first), w), owner, tail
+            continue
+        # a very long text with more words than a message lists
+        v, u = _before(w, first)
+        for at in range(0, len(w), TAIL // 3):
+            own = slice(at, at + TAIL // 3)
+            tail = _tail(v[own], u[own], w[own])
+            yield lo, _key(*(_places(c[own], tail) for c in (v, u, w))), owner[own], tail
+
+
+def _key(v: np.ndarray, u: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return v << 2 * LOCAL_BITS | u << LOCAL_BITS | w
+
+
+def _apart(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return key >> 2 * LOCAL_BITS, (key >> LOCAL_BITS) & _LOCAL, key & _LOCAL
 
 
 def _asked(docs: DataFrame, shared) -> DataFrame:
@@ -372,7 +460,7 @@ def _asked(docs: DataFrame, shared) -> DataFrame:
         for batch in batches:
             uid = batch["uid"].to_numpy()
             learned = ~batch["held_out"].to_numpy(zero_copy_only=False)
-            for lo, key, owner in _blocks(batch, shared):
+            for lo, key, owner, tail in _blocks(batch, shared):
                 order = np.lexsort((owner, key))
                 key, owner = key[order], owner[order]
                 # equal trigrams of one text are one entry, with a number
@@ -381,7 +469,8 @@ def _asked(docs: DataFrame, shared) -> DataFrame:
                 at = np.flatnonzero(fresh)
                 times = np.diff(np.append(at, len(key)))
                 key, owner = key[at], owner[at]
-                shard = _shard(vocabulary, key)
+                v, u, _ = _apart(key)
+                shard = _shard(vocabulary, _coded(v, tail), _coded(u, tail))
                 order = np.argsort(shard, kind="stable")
                 rows = []
                 for a, b in _cuts(shard[order]):
@@ -389,7 +478,11 @@ def _asked(docs: DataFrame, shared) -> DataFrame:
                     kinds, begin, n = np.unique(key[own], return_index=True, return_counts=True)
                     seen = np.add.reduceat(times[own] * learned[owner[own]], begin)
                     texts, place = np.unique(owner[own], return_inverse=True)
-                    blob = _packed(kinds, n, seen, place, times[own])
+                    # the hashes of the words that the message names
+                    slot = np.zeros(0, np.int64)
+                    if len(tail):
+                        slot = np.unique(np.concatenate([c[c >= TAIL] for c in _apart(kinds)])) - TAIL
+                    blob = _packed(kinds, n, seen, place, times[own], slot, *_halves(tail[slot]))
                     rows.append((int(shard[own[0]]), int(uid[lo]), _packed(uid[texts]), blob))
                 yield _batch(rows, "shard block texts blob", _MESSAGE_KINDS)
 
@@ -402,31 +495,34 @@ def _split_pairs(docs: DataFrame, shared) -> DataFrame:
     Counted whole first, so that every part of a context knows all its successors.
     """
 
-    def message(shard: np.ndarray, key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        order = np.lexsort((key, shard))
-        rows = [
-            (int(shard[order[a]]), None, None, _packed(key[order[a:b]], n[order[a:b]]))
-            for a, b in _cuts(shard[order])
-        ]
+    def message(shard: np.ndarray, v: np.ndarray, w: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        order = np.argsort(shard, kind="stable")
+        rows = []
+        for a, b in _cuts(shard[order]):
+            own = order[a:b]
+            tail = _tail(w[own])
+            key = v[own].astype(np.int64) << 32 | _places(w[own], tail)
+            own, key = own[np.argsort(key)], np.sort(key)
+            rows.append((int(shard[own[0]]), None, None, _packed(key, n[own], *_halves(tail))))
         return _batch(rows, "shard block texts blob", _MESSAGE_KINDS)
 
     def count(batches):
         vocabulary = shared.value
         for batch in batches:
-            for _, key, _ in _blocks(batch, shared):
-                key = key[vocabulary.parts[key >> 2 * ID_BITS] > 1]
-                pair, n = np.unique(
-                    (key >> 2 * ID_BITS) << ID_BITS | key & _MASK, return_counts=True
-                )
-                place = mix(pair.astype(np.uint64)) % np.uint64(vocabulary.shards)
-                yield message(place.astype(np.int64), pair, n)
+            for _, key, _, tail in _blocks(batch, shared):
+                v, _, w = _apart(key)
+                v = _coded(v, tail)
+                own = _parts(vocabulary, v) > 1
+                pair, n = np.unique(v[own].astype(np.int64) << 32 | w[own], return_counts=True)
+                v, w = (pair >> 32).astype(np.uint64), _coded(pair & 0xFFFFFFFF, tail)
+                place = mix(mix(v) ^ w) % np.uint64(vocabulary.shards)
+                yield message(place.astype(np.int64), v, w, n)
 
     def deal(table: pa.Table) -> pa.Table:
         vocabulary = shared.value
-        pair, n = _gathered([_unpacked(b) for b in table["blob"].to_pylist()])
-        v = pair >> ID_BITS
-        times = vocabulary.parts[v]
-        row = np.repeat(np.arange(len(pair)), times)
+        v, w, n = _gathered_pairs([_pairs(_unpacked(b)) for b in table["blob"].to_pylist()])
+        times = _parts(vocabulary, v)
+        row = np.repeat(np.arange(len(v)), times)
         part = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
         shard = _shard_of(vocabulary, v[row], part)
         own = np.lexsort((row, shard))
@@ -434,7 +530,7 @@ def _split_pairs(docs: DataFrame, shared) -> DataFrame:
         first = np.ones(len(own), bool)
         first[1:] = (np.diff(shard[own]) != 0) | (np.diff(row[own]) != 0)
         own = own[first]
-        return pa.Table.from_batches([message(shard[own], pair[row[own]], n[row[own]])])
+        return pa.Table.from_batches([message(shard[own], v[row[own]], w[row[own]], n[row[own]])])
 
     return (
         docs.filter("not held_out")
@@ -445,13 +541,55 @@ def _split_pairs(docs: DataFrame, shared) -> DataFrame:
     )
 
 
-def _gathered(parts: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Sums of counts by key over many messages."""
-    none = [np.zeros(0, np.int64)]
-    key = np.concatenate(none + [p[0] for p in parts])
-    n = np.concatenate(none + [p[1] for p in parts])
+def _pairs(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``v``, ``w`` and counts of a message of bigrams."""
+    key, n, high, low = columns
+    return (key >> 32).astype(np.uint64), _coded(key & 0xFFFFFFFF, _whole(high, low)), n
+
+
+def _joined(parts: list[tuple], width: int) -> list[np.ndarray]:
+    """Columns of many messages; the last is a count, the others are codes."""
+    none = [np.zeros(0, np.uint64)] * (width - 1) + [np.zeros(0, np.int64)]
+    return [np.concatenate(c) for c in zip(none, *parts)]
+
+
+def _gathered_pairs(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sums of counts by bigram over many messages."""
+    v, w, n = _joined(parts, 3)
+    tail = _tail(w)
+    key = v.astype(np.int64) << 32 | _places(w, tail)
     order = np.argsort(key, kind="stable")
-    return _summed(key[order], n[order])
+    key, n = _summed(key[order], n[order])
+    return (key >> 32).astype(np.uint64), _coded(key & 0xFFFFFFFF, tail), n
+
+
+def _tail_counts(docs: DataFrame, counts: DataFrame, shared) -> DataFrame:
+    """Messages with the counts of words without ids, for each shard that asks for one."""
+
+    def want(batches):
+        vocabulary = shared.value
+        for batch in batches:
+            for _, key, _, tail in _blocks(batch, shared):
+                v, u, w = _apart(key[(key & _LOCAL) >= TAIL])
+                shard = _shard(vocabulary, _coded(v, tail), _coded(u, tail))
+                rows = np.unique(np.stack([shard, w]), axis=1)
+                word = tail[rows[1] - TAIL].view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(rows[0]), pa.array(word)], names=["shard", "word"])
+
+    def message(table: pa.Table) -> pa.Table:
+        word, n = table["word"].to_numpy(), table["n"].to_numpy()
+        order = np.argsort(word)
+        row = (table["shard"][0].as_py(), None, b"", _packed(word[order], n[order]))
+        return pa.Table.from_batches([_batch([row], "shard block texts blob", _MESSAGE_KINDS)])
+
+    return (
+        docs.select("text")
+        .mapInArrow(want, "shard long, word long")
+        .distinct()
+        .join(counts, "word")
+        .groupBy("shard")
+        .applyInArrow(message, _MESSAGE)
+    )
 
 
 class _Shard:
@@ -464,41 +602,81 @@ class _Shard:
     def __init__(self) -> None:
         self.pairs: list = []
         self.triples: list = []
+        self.counts: list = []
         self.held = 0
         self.waiting = SpooledTemporaryFile(max_size=SPOOL_BYTES)
 
     def learn(self, block: int | None, texts: bytes | None, blob: bytes) -> None:
         columns = _unpacked(blob)
         if block is None:
-            self.pairs.append(columns)
+            if texts is None:
+                self.pairs.append(_pairs(columns))
+            else:
+                self.counts.append((columns[0].view(np.uint64), columns[1]))
             return
-        key, seen = columns[0], columns[2]
-        self.triples.append([key[seen > 0], seen[seen > 0]])
-        self.held += len(self.triples[-1][0])
+        seen = columns[2] > 0
+        self.triples.append((*self._words(columns, seen), columns[2][seen]))
+        self.held += int(seen.sum())
         if self.held > 4 * SHARD_TOKENS:
-            self.triples = [list(_gathered(self.triples))]
+            *codes, n = _joined(self.triples, 4)
+            tail = _tail(*codes)
+            bits = (TAIL + len(tail)).bit_length()
+            v, u, w = (_places(c, tail) for c in codes)
+            pair, w, n = _triples(v << bits | u, w, n, bits)
+            vuw = (pair >> bits, pair & ((1 << bits) - 1), w)
+            self.triples = [(*(_coded(c, tail) for c in vuw), n)]
             self.held = 0
         self.waiting.write(struct.pack("<qII", block, len(texts), len(blob)) + texts + blob)
 
-    def answers(self, log_p1: np.ndarray):
+    @staticmethod
+    def _words(columns: list[np.ndarray], own=slice(None)) -> list[np.ndarray]:
+        """``v``, ``u`` and ``w`` of the trigrams of a message."""
+        key, slot, tail = columns[0][own], columns[5], _whole(*columns[6:])
+        out = []
+        for places in _apart(key):
+            codes = places.astype(np.uint64)
+            if len(slot):
+                behind = np.flatnonzero(places >= TAIL)
+                codes[behind] = tail[np.searchsorted(slot, places[behind] - TAIL)]
+            out.append(codes)
+        return out
+
+    def answers(self, vocabulary: Vocabulary):
         """``(block, texts, sums)`` of each message."""
-        trie = Trie(build(*_gathered(self.triples), *_gathered(self.pairs), log_p1))
+        *codes, n3 = _joined(self.triples, 4)
+        v2, w2, n2 = _joined(self.pairs, 3)
+        words, n1 = _joined(self.counts, 2)
+        # every word of the shard; the place behind them is that of all words never learned
+        tail = _tail(*codes, w2, words)
+        bits = (TAIL + len(tail)).bit_length()
+        count = np.zeros(len(tail) + 1)
+        count[np.searchsorted(tail, words)] = n1
+        by_id = np.zeros(TAIL)
+        by_id[: len(vocabulary.log_p1)] = vocabulary.log_p1
+        log_p1 = np.concatenate([by_id, np.log10((count + 0.5) / vocabulary.denominator)])
+        v, u, w = (_places(c, tail) for c in codes)
+        key2 = _places(v2, tail) << bits | _places(w2, tail)
+        trie = Trie(build_wide(v << bits | u, w, n3, key2, n2, log_p1, bits), bits)
         self.triples = self.pairs = []
         self.waiting.seek(0)
         while head := self.waiting.read(16):
             block, texts, size = struct.unpack("<qII", head)
             texts = self.waiting.read(texts)
-            key, n, _, place, times = _unpacked(self.waiting.read(size))
-            p = np.repeat(trie.score(key, log_p1), n) * times
+            columns = _unpacked(self.waiting.read(size))
+            _, n, _, place, times = columns[:5]
+            vuw = (_places(c, tail) for c in self._words(columns))
+            p = np.repeat(trie.score_wide(*vuw, log_p1), n) * times
             yield block, texts, np.bincount(place, p).astype("<f8").tobytes()
         self.waiting.close()
 
 
-def _answered(docs: DataFrame, shared) -> DataFrame:
-    """``(uid, score)``: the log10 probability of each text in trigrams of ids."""
+def _answered(docs: DataFrame, counts: DataFrame, shared, tail: bool) -> DataFrame:
+    """``(uid, score)``: the log10 probability of each text."""
     messages = _asked(docs, shared)
     if (shared.value.parts > 1).any():
         messages = messages.unionByName(_split_pairs(docs, shared))
+    if tail:
+        messages = messages.unionByName(_tail_counts(docs, counts, shared))
 
     def answer(batches):
         current, shard = None, None
@@ -507,7 +685,7 @@ def _answered(docs: DataFrame, shared) -> DataFrame:
         def done():
             if shard is not None:
                 rows = []
-                for row in shard.answers(shared.value.log_p1):
+                for row in shard.answers(shared.value):
                     rows.append(row)
                     if len(rows) == 64:
                         yield _batch(rows, names, kinds)
@@ -557,7 +735,7 @@ def _singles(docs: DataFrame, shared) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         rows["uid"], rows["id"], rows["held_out"],
-                        pa.nulls(size, pa.int64()), pa.array(known, pa.int64()), pa.array(base),
+                        pa.nulls(size, pa.int64()), pa.array(known, pa.int64()), pa.array(base.astype(float)),
                         pa.array(np.diff(first), pa.int64()),
                     ],
                     names=names,
@@ -599,7 +777,7 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     vocabulary, facts = vocabulary_of(counts)
     shared = spark.sparkContext.broadcast(vocabulary)  # bounded by VOCABULARY
 
-    sums = _answered(docs, shared)
+    sums = _answered(docs, counts, shared, facts["distinct"] > len(vocabulary.hashes))
     singles = _singles(docs, shared)
     rare = (
         singles.filter("word is not null")
@@ -608,13 +786,12 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
         .select(
             "uid",
             F.when(F.col("n") > 0, F.col("times")).otherwise(0).alias("known"),
-            (F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("log"),
-            "times",
+            (F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("base"),
         )
     )
     none = F.lit(0.0)
     parts = (
-        rare.select("uid", "known", F.col("log").alias("base"), (F.col("log") - F.col("times") * float(np.log10(facts["rare"]))).alias("score"))
+        rare.select("uid", "known", "base", none.alias("score"))
         .unionByName(sums.select("uid", F.lit(0).cast("long").alias("known"), none.alias("base"), "score"))
         .groupBy("uid")
         .agg(F.sum("known").alias("known"), F.sum("base").alias("more"), F.sum("score").alias("score"))
