@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from turnloom.llm import ngram_trie, substrings
+from turnloom.llm import html_text, ngram_trie, substrings
 
 
 def test_spans_stay_with_their_rows_when_the_scan_is_cut_anew(spark, shared_folder):
@@ -54,3 +54,22 @@ def test_tries_of_very_many_words_are_the_same():
         data = ngram_trie.build_wide(v << bits | u, w, n, none, none, log_p1, bits)
         got.append(ngram_trie.Trie(data, bits).score_wide(v, u, w, log_p1))
     assert (got[0] == got[1]).all()
+
+
+def test_names_set_aside_only_what_they_name():
+    story = "the story of the town and of the people in it was told by them " * 4
+    for page in (
+        f"<main class='no-sidebar'><p>{story}</main>",
+        f"<div class='has-sidebar'><p>{story}</div>",
+        f"<div class='sidebar'><article class='comments-open'><p>{story}</article></div>",
+        f"<article><section id='discussion'><p>{story}</section></article>",
+        f"<article><p class='notice-board'>{story}</article>",
+    ):
+        assert html_text.main_text(page) == story.strip()
+    assert html_text.main_text(f"<article><h2 id='related-work'>Work</h2><p>{story}</article>").startswith("Work")
+    assert html_text.main_text(f"<article>t</article><div class='site-footer'><p>{story}</div>") == "t"
+
+
+def test_pages_without_known_stop_words_have_text():
+    text = "Kaupungin asukkaat kertoivat tarinan kirjastossa eilen illalla " * 5
+    assert html_text.main_text(f"<nav>Valikko</nav><div><p>{text}</div>") == text.strip()

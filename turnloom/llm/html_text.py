@@ -76,15 +76,24 @@ ASIDE_NAMES = frozenset(
     """.split()
 )
 
+# What such a word can be joined with and still mark the part; "no-sidebar" marks nothing.
+PLACE_NAMES = frozenset(
+    """
+    main site page global top bottom left right primary secondary box wrapper wrap container area
+    bar block list item section content inner outer links
+    """.split()
+)
+
 _token = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)"
     r"|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"
     r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)",
     re.S,
 )
-_named = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_named = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _hidden = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
-_name = re.compile(r"[a-z]+")
+_between = re.compile(r"[-_:.0-9]+")
+_heading = re.compile(r"h[1-6]")
 _white = re.compile(r"\s+")
 _word = re.compile(r"[^\W\d_]+")
 
@@ -97,11 +106,27 @@ class Block(NamedTuple):
     heading: bool
 
 
+def marks_aside(name: str, attributes: str, in_main: bool) -> bool:
+    """Whether an element's class, id or role says that it is not the page's own text.
+
+    An id of a heading, or of a section of an article, names what it is about.
+    """
+    for kind, *values in _named.findall(attributes):
+        if kind.lower() == "id" and (_heading.fullmatch(name) or in_main and name == "section"):
+            continue
+        for word in "".join(values).lower().split():
+            parts = {x for x in _between.split(word) if x}
+            if not ASIDE_NAMES.isdisjoint(parts) and parts <= ASIDE_NAMES | PLACE_NAMES:
+                return True
+    return False
+
+
 def blocks(page: str) -> list[Block]:
     """The blocks of a page that have text, in order."""
     out: list[Block] = []
-    # open elements: name, whether it sets its content aside, the main element it is in
-    open_: list[tuple[str, bool, int]] = [("", False, 0)]
+    # open elements: name, whether its content is set aside (1 by a name, 2 by what it is), the
+    # main element it is in
+    open_: list[tuple[str, int, int]] = [("", 0, 0)]
     parts: list[str] = []
     linked = links = mains = breaks = 0
     at, size = 0, len(page)
@@ -112,7 +137,7 @@ def blocks(page: str) -> list[Block]:
         if text:
             name, aside, main = open_[-1]
             heading = any(len(n) == 2 and n[0] == "h" and n[1].isdigit() for n, _, _ in open_)
-            out.append(Block(text, linked, aside, main, heading))
+            out.append(Block(text, linked, bool(aside), main, heading))
         parts.clear()
         linked = breaks = 0
 
@@ -168,15 +193,18 @@ def blocks(page: str) -> list[Block]:
             if name == "a":
                 links += 1
             _, aside, main = open_[-1]
+            if aside == 1 and (name == "main" or name == "article" and not mains):
+                aside = 0  # a name around the page's text does not set it aside
             if name in MAIN and not aside:
                 mains += not main
                 main = main or mains
-            aside = aside or name in ASIDE and not (name == "header" and main) or name == "head"
+            if name in ASIDE and not (name == "header" and main) or name == "head":
+                aside = 2
             if attributes and not aside:
-                named = (x for g in _named.findall(attributes) for x in g if x)
-                names = {w for value in named for w in _name.findall(value.lower())}
-                aside = name not in ("html", "body") and not ASIDE_NAMES.isdisjoint(names)
-                aside = aside or bool(_hidden.search(attributes))
+                if name not in MAIN and name not in ("html", "body"):
+                    aside = int(marks_aside(name, attributes, bool(main)))
+            if attributes and aside < 2 and _hidden.search(attributes):
+                aside = 2
             open_.append((name, aside, main))
         elif closing:
             name = closing.lower()
@@ -198,6 +226,11 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
+def stop_word_share(block: Block) -> float:
+    words = _word.findall(block.text.lower())
+    return sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
+
+
 def first_pass(block: Block, has_main: bool) -> bool | None:
     """Whether a block is main text; None where that stays open."""
     if block.aside or has_main and not block.main:
@@ -209,20 +242,23 @@ def first_pass(block: Block, has_main: bool) -> bool | None:
         return True if len(block.text) >= SHORT_CHARS else None
     if len(block.text) < SHORT_CHARS:
         return None
-    words = _word.findall(block.text.lower())
-    share = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
+    share = stop_word_share(block)
     if share >= MANY_STOP_WORDS:
         return True
     if share >= FEW_STOP_WORDS:
         return True if len(block.text) >= LONG_CHARS else None
-    return False
+    # without any known word it may be another language, or no running text
+    return False if share else None
 
 
 def labels(page: list[Block]) -> list[bool]:
-    """Both passes. Ties between two neighbours go to main text inside an article or main
+    """Both passes. Where no block has a known stop word, length alone decides. Ties between two neighbours go to main text inside an article or main
     element and to a heading before main text; elsewhere both must be main text."""
     has_main = any(b.main and not b.aside for b in page)
     first = [first_pass(b, has_main) for b in page]
+    if not has_main and not any(stop_word_share(b) for b in page if not b.aside):
+        long = (len(b.text) >= LONG_CHARS for b in page)
+        first = [True if x is None and y else x for x, y in zip(first, long)]
     before = _nearest(page, first)
     after = _nearest(page[::-1], first[::-1])[::-1]
     out = []
