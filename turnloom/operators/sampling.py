@@ -9,10 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnloom.functions.text import as_column
-from turnloom.operators.scale import hash_cutoff, hash_order, lookup_join, number_by_hash
+from turnloom.operators.scale import hash_cutoff, hash_order, lookup_join, number_by_hash, number_rows
 
 
-def draw(key: Sequence[Column | str], name: str, seed: int, count: int) -> Column:
+def draw(
+    key: Sequence[Column | str], name: str | Column, seed: int, count: int | Column
+) -> Column:
     """A number below ``count`` from a row's key, the draw's name and the seed."""
     parts = [as_column(k).cast("string") for k in key]
     digest = F.md5(F.concat_ws("|", *parts, F.lit(name), F.lit(str(seed))))
@@ -81,34 +83,58 @@ def sample_requests(
     """``n`` requests, each with one random template, entry and value per key.
 
     ``templates`` has ``template_id`` (dense from 0) and ``template``; ``substitutions``
-    has ``key`` and ``values``. Draws are independent and with replacement. The templates
-    and substitutions of a language are lists a person wrote and become constants of the
-    plan, after a check of their size; entries are joined on a dense index.
+    has ``key`` and ``values``. Draws are independent and with replacement. Templates and entries
+    are joined on dense indexes, values as in ``draw_values``; none is collected.
     """
-    texts = bounded_rows(templates.orderBy("template_id"), "templates")
-    lists = bounded_rows(substitutions.orderBy("key"), "substitutions")
-    if not texts:
+    count = templates.count()
+    if not count:
         raise ValueError("no templates")
+    texts = number_rows(
+        templates.select("template_id", "template"), ["template_id", "template"], "_template"
+    )
     ids = entries.sparkSession.range(n).withColumnRenamed("id", "request")
-    which = draw(["request"], "template", seed, len(texts)).cast("int")
-    picks = []
-    for row in lists:
-        if row["values"]:
-            values = F.array(*[F.lit(v) for v in row["values"]])
-            i = draw(["request"], row["key"], seed, len(row["values"])).cast("int")
-            picks += [F.lit(row["key"]), F.get(values, i)]
-    empty = F.create_map().cast("map<string,string>")
     size = entries.count()
     drawn = ids.select(
         "request",
-        F.get(F.array(*[F.lit(r["template_id"]) for r in texts]), which).alias("template_id"),
-        F.get(F.array(*[F.lit(r["template"]) for r in texts]), which).alias("template"),
-        (F.create_map(*picks) if picks else empty).alias("picks"),
+        draw(["request"], "template", seed, count).alias("_template"),
         draw(["request"], "entry", seed, size).alias("_entry"),
     )
+    drawn = lookup_join(drawn, texts, "_template", "inner")
+    drawn = lookup_join(drawn, draw_values(n, substitutions, seed), "request")
+    empty = F.create_map().cast("map<string,string>")
+    drawn = drawn.select(
+        "request", "template_id", "template", F.coalesce("picks", empty).alias("picks"), "_entry"
+    )
     return pick_rows(drawn, entries, "_entry", entry_key, size, seed)
 
 
+def draw_values(n: int, substitutions: DataFrame, seed: int = 0, prefix: str = "") -> DataFrame:
+    """``(request, picks)``: a random value per key of ``substitutions`` for each of ``n`` requests.
+
+    Keys without values are left out; without any key there is no row.
+    """
+    lists = number_rows(
+        substitutions.filter(F.size("values") > 0).select("key", "values"), ["key", "values"], "_key"
+    )
+    keys = lists.count()
+    sizes = lists.select("_key", "key", F.size("values").alias("_size"))
+    values = lists.select("_key", F.posexplode("values").alias("_at", "value"))
+    draws = substitutions.sparkSession.range(n * keys).select(
+        F.expr(f"id div {max(keys, 1)}").alias("request"), (F.col("id") % max(keys, 1)).alias("_key")
+    )
+    name = F.concat(F.lit(prefix), F.col("key"))
+    drawn = lookup_join(draws, sizes, "_key", "inner").select(
+        "request", "_key", "key", draw(["request"], name, seed, F.col("_size")).cast("int").alias("_at")
+    )
+    picks = F.sort_array(F.collect_list(F.struct("_key", "key", "value")))
+    pairs = F.transform(picks, lambda p: p.dropFields("_key"))
+    return (
+        lookup_join(drawn, values, ["_key", "_at"], "inner")
+        .groupBy("request")
+        .agg(F.map_from_entries(pairs).alias("picks"))
+    )
+
+
 def bounded_rows(df: DataFrame, what: str, limit: int = 10_000) -> list:
     """All rows of a table that must be short; more than ``limit`` is an error."""
     rows = df.limit(limit + 1).collect()

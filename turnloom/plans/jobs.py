@@ -28,7 +28,8 @@ from turnloom.functions.text import (
 )
 from turnloom.operators.filters import fill_intended, strip_partner_intended
 from turnloom.operators.joins import attach_any, coalesce_metadata
-from turnloom.operators.sampling import bounded_rows, draw, sample_requests, split_exact
+from turnloom.operators.sampling import draw_values, sample_requests, split_exact
+from turnloom.operators.scale import lookup_join
 from turnloom.operators.stats import corpus_stats, coverage, format_stats, with_total
 from turnloom.operators.translation import (
     CHUNK_STRINGS,
@@ -110,7 +111,9 @@ def build_request_table(
     User and system text draw their names and style values apart from each other.
     """
     drawn = sample_requests(n, templates, entries, entry_key, substitutions, seed)
-    system_picks = sample_picks(substitutions, seed)
+    system = draw_values(n, substitutions, seed, "system.").withColumnRenamed("picks", "_system")
+    drawn = lookup_join(drawn, system, "request")
+    system_picks = F.coalesce("_system", F.create_map().cast("map<string,string>"))
 
     def values(picks: Column) -> Column:
         return prompt_values(
@@ -143,17 +146,6 @@ def request_twins(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
     return requests.select("request.*"), requests.select("request.*", "metadata")
 
 
-def sample_picks(substitutions: DataFrame, seed: int, name: str = "system") -> Column:
-    """A map column with one random value per substitution key, drawn by ``request``."""
-    pairs = []
-    for row in bounded_rows(substitutions.orderBy("key"), "substitutions"):
-        if row["values"]:
-            values = F.array(*[F.lit(v) for v in row["values"]])
-            i = draw(["request"], f"{name}.{row['key']}", seed, len(row["values"]))
-            pairs += [F.lit(row["key"]), F.get(values, i.cast("int"))]
-    return F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")
-
-
 def read_responses(
     lines: DataFrame, line: str = "value", keep_content: bool = False
 ) -> DataFrame:
