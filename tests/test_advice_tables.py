@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from turnloom.operators import sampling
+from turnloom.operators import filters, sampling
 
 
 def test_long_lists_of_templates_and_values_are_joined(spark):
@@ -12,3 +12,11 @@ def test_long_lists_of_templates_and_values_are_joined(spark):
     rows = sampling.sample_requests(3, templates, entries, ["pos"], subs).collect()
     assert len(rows) == 3 and all(r.template == f"t{r.template_id}" for r in rows)
     assert all(len(r.picks) == 10_050 and set(r.picks.values()) == {"a", "b"} for r in rows)
+
+
+def test_no_limit_passes_through_one_task(spark):
+    df = spark.range(5000).select((F.col("id") * 7 % 5000).alias("pos"), F.lit("x").alias("t"))
+    kept = filters.limit_entries(df, 3000, ["pos"])
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in plan and "Limit" not in plan and "SinglePartition" not in plan
+    assert {r.pos for r in kept.collect()} == set(range(3000))

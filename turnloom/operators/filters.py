@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from turnloom.functions.prompts import prompt_of
+from turnloom.operators.scale import number_rows
 
 # Relations kept by default.
 RELATIONS = (
@@ -97,7 +98,8 @@ def limit_entries(df: DataFrame, n: int | None, order: Sequence[str]) -> DataFra
         for f in df.schema.fields
         if f.name not in named and not isinstance(f.dataType, (T.MapType, T.VariantType))
     ]
-    return df.orderBy(*order, *ties).limit(n)
+    numbered = number_rows(df, [*order, *ties], "_row")
+    return numbered.filter(F.col("_row") < n).select(*df.columns)
 
 
 def aac_turns(turns: DataFrame) -> DataFrame:
