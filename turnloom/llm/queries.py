@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnloom.llm import (
+    ball_tree,
+    common_lines,
     cover_tree,
     html_text,
     line_crf,
@@ -19,6 +21,7 @@ from turnloom.llm import (
     substrings,
     token_counts,
     toxicity,
+    whitening,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +127,65 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return packing.pack(documents, tokenizer_path("byte_bpe_50k.json"))
+
+
+@query
+def op11_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return ball_tree.top_documents(documents, table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op11_ranked_lexical_search"] = r"""
+    WITH doc_terms AS (
+        SELECT doc_id, row_number() OVER () AS uid,
+               regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+        FROM documents),
+    sizes AS (SELECT uid, doc_id, len(terms) AS n FROM doc_terms WHERE len(terms) > 0),
+    totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM sizes),
+    tfs AS (SELECT uid, term, count(*) AS tf FROM (SELECT uid, unnest(terms) AS term FROM doc_terms) GROUP BY ALL),
+    weights AS (
+        SELECT term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w
+        FROM tfs, totals GROUP BY term),
+    items AS (
+        SELECT row_number() OVER () AS item, item_id,
+               list_distinct(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS terms
+        FROM benchmark),
+    asked AS (SELECT item, item_id, unnest(terms) AS term FROM items),
+    scores AS (
+        SELECT item, any_value(item_id) AS item_id, s.uid, any_value(doc_id) AS doc_id,
+               sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // total))))::BIGINT AS score
+        FROM asked JOIN tfs USING (term) JOIN weights USING (term) JOIN sizes s ON s.uid = tfs.uid, totals
+        GROUP BY item, s.uid)
+    SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+    FROM scores WHERE score > 0 QUALIFY rank <= 50""".replace("\\", "\\")
+
+
+@query
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = common_lines.drop_common_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLES["op12_line_dedup"] = r"""
+    WITH docs AS (
+        SELECT row_number() OVER () AS uid, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+    lines AS (
+        SELECT uid, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM docs),
+    keyed AS (
+        SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+    common AS (
+        SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 40
+        GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+    judged AS (
+        SELECT k.*, keeper IS NOT NULL AND keeper <> doc_id AS gone FROM keyed k LEFT JOIN common USING (key))
+    SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count_if(gone)::BIGINT AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+    FROM judged GROUP BY uid"""
+
+
+@query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
