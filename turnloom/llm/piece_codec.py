@@ -290,6 +290,25 @@ def encode(path: str, text: str | Column = "text") -> Column:
     return ids(F.col(text) if isinstance(text, str) else text)
 
 
+def there_and_back(path: str, text: str | Column = "text") -> Column:
+    """A struct of the ``ids`` as ``encode`` gives them and the ``text`` that ``decode`` makes of
+    them. As one function: two would encode each text twice."""
+    verify(path)
+
+    @F.arrow_udf("ids binary, text string")
+    def both(column: pa.Array) -> pa.Array:
+        codec, ids, back = load(path), [], []
+        texts = [t or "" for t in column.to_pylist()]
+        for a, b in _batches(texts):
+            found = codec.encode(texts[a:b])
+            ids.extend(found)
+            back.extend(map(codec.decode, found))
+        columns = [pa.array(ids, pa.binary()), pa.array(back, pa.string())]
+        return pa.StructArray.from_arrays(columns, names=["ids", "text"])
+
+    return both(F.col(text) if isinstance(text, str) else text)
+
+
 def decode(path: str, ids: str | Column = "ids") -> Column:
     """The text of ids as ``encode`` gives them; null for null."""
 

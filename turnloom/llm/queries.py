@@ -90,12 +90,12 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_path("piece_bpe_32k.model")
     return (
         table(spark, sf_dir, "documents")
-        .select("doc_id", "text", piece_codec.encode(path, "text").alias("ids"))
+        .select("doc_id", "text", piece_codec.there_and_back(path, "text").alias("codec"))
         .select(
             "doc_id",
-            (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-            F.crc32("ids").alias("ids_crc32"),
-            (piece_codec.decode(path, "ids") == F.coalesce("text", F.lit(""))).alias("round_trip"),
+            (F.octet_length("codec.ids") / 4).cast("long").alias("n_tokens"),
+            F.crc32("codec.ids").alias("ids_crc32"),
+            (F.col("codec.text") == F.coalesce("text", F.lit(""))).alias("round_trip"),
         )
     )
 
