@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from turnloom.operators.scale import cut_lineage
+
 K = 5
 SCALE = 256
 QUERY_EVERY = 50
@@ -207,17 +209,19 @@ def top_k(
     that hold a null or a value that is not finite, and rows without an id take no part; vectors
     of different length never meet; scores beyond a long stay at its limits. Repeated rows are
     candidates of each other. Fewer candidates than ``k`` give fewer rows, an empty table none.
-    ``df`` must give the same rows in the same partitions each time, as a stored table does.
     """
     x = F.col(vector_col)
-    rows = df.select(
-        F.monotonically_increasing_id().alias("uid"),
-        F.col(id_col).cast("long").alias("id"),
-        F.transform(x, lambda v: v.cast("double")).alias("v"),
-    ).filter(
-        F.col("id").isNotNull()
-        & F.col("v").isNotNull()
-        & F.forall("v", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
+    # stored with their numbers: another plan of the scan could number other rows alike
+    rows = cut_lineage(
+        df.select(
+            F.monotonically_increasing_id().alias("uid"),
+            F.col(id_col).cast("long").alias("id"),
+            F.transform(x, lambda v: v.cast("double")).alias("v"),
+        ).filter(
+            F.col("id").isNotNull()
+            & F.col("v").isNotNull()
+            & F.forall("v", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
+        )
     )
     is_query = F.col("id") % every == 0
     n, n_queries = rows.agg(F.count(F.lit(1)), F.count_if(is_query)).first()
