@@ -1,10 +1,23 @@
 """What the second review found, each as a case that failed before."""
 
+from array import array
+from collections import Counter
+
 import numpy as np
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from turnloom.llm import html_text, ngram_trie, substrings
+from turnloom.llm import (
+    byte_bpe,
+    html_text,
+    ngram_trie,
+    packing,
+    piece_codec,
+    queries,
+    substrings,
+    words,
+)
 
 
 def test_spans_stay_with_their_rows_when_the_scan_is_cut_anew(spark, shared_folder):
@@ -73,3 +86,53 @@ def test_names_set_aside_only_what_they_name():
 def test_pages_without_known_stop_words_have_text():
     text = "Kaupungin asukkaat kertoivat tarinan kirjastossa eilen illalla " * 5
     assert html_text.main_text(f"<nav>Valikko</nav><div><p>{text}</div>") == text.strip()
+
+
+def test_hashes_do_not_depend_on_the_bytes_taken_at_a_time(monkeypatch):
+    rng = np.random.default_rng(3)
+    texts = [" ".join("x" * int(n) + str(n) for n in rng.integers(1, 200, 60)).encode() for _ in range(9)]
+    found = words.split([*texts, None, b"", b"y" * 5000])
+    whole = words.hashes(found)
+    for size in (1, 50, 1000):
+        monkeypatch.setattr(words, "HASH_BYTES", size)
+        assert (words.hashes(found) == whole).all()
+    assert len(set(whole.tolist())) == len({w for t in texts for w in t.split()}) + 1
+
+
+def test_odd_characters_are_told_alike_both_ways():
+    for c in [*range(0, 0x300), 0x2010, 0x2028, 0x20AC, 0x65E5, 0x1F600]:
+        text = "a" + chr(c) + "b"
+        assert byte_bpe.is_odd(text) == bool(byte_bpe._odd.search(text))
+
+
+def test_a_plan_is_never_worse_than_best_fit():
+    rng = np.random.default_rng(0)
+    lengths = np.clip(rng.lognormal(6.8, 0.6, 20_000).astype(int), 1, 2048)
+    plan, bound = packing.solve(Counter(lengths.tolist()))
+    counts = np.bincount(lengths, minlength=2049)
+    alone = packing.best_fit(np.where(np.arange(2049) < 2048, counts, 0), 2048).total() + counts[2048]
+    assert bound <= plan.total() <= alone
+
+
+def test_one_function_encodes_and_decodes(spark):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    texts = [(1, "One two  three"), (2, None), (3, ""), (4, "日本 \x01 été")]
+    df = spark.createDataFrame(texts, "n int, text string")
+    both = piece_codec.there_and_back(path).alias("x")
+    rows = df.select("n", both, piece_codec.encode(path).alias("ids")).collect()
+    assert [r.x.ids for r in rows] == [r.ids for r in rows]
+    back = df.select("n", piece_codec.encode(path).alias("ids")).select("n", piece_codec.decode(path).alias("t"))
+    assert [r.x.text for r in rows] == [r.t for r in back.collect()]
+    shown = queries.QUERIES["op5_sentencepiece"](spark, "/root/testdata/sf0.001")
+    plan = shown._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython [") == 1 and "encode" not in plan
+
+
+def test_chained_pieces_have_the_ids_of_each_alone():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    words_ = packing.IdBytes(path)
+    pieces = ["The", " quick", "\nbrown's", " été", " 日本", "  ", " x ", " a,b", "\n", " <|endoftext|>", " 1234567"] * 3
+    alone = [words_.resolve([p])[0] for p in pieces]
+    library = [array("I", x).tobytes() for x in words_.encode(pieces)]
+    assert words_.resolve(pieces) == alone == library
+    assert words_._parted("ab", [1, 1]) is None or len(words_.encode(["ab"])[0]) == 2

@@ -297,7 +297,9 @@ def test_quality_and_toxicity_on_the_tables(spark, docs, empty):
     rows = [(r.toxic, r.p.toxic >= 0.5) for r in rows.collect()]
     assert sum(p == bool(t) for t, p in rows) > 0.93 * len(rows)
     for df in (docs, empty):
-        assert df.select(toxicity.probabilities(chain).alias("p"), line_crf.judge(field).alias("r")).count() == df.count()
+        both = df.select("doc_id", toxicity.probabilities(chain).alias("p"), line_crf.judge(field).alias("r")).collect()
+        assert len(both) == df.count() and all(0 <= x.p.toxic <= 1 for x in both)
+        assert all(not x.r.kept for x in both if x.r.base_failed)
     none = toxicity.fit(documents, labels.limit(0), {"toxic": "toxic = 1"})
     assert docs.filter(toxicity.probabilities(none).toxic > 0.5).count() == 0
     assert line_crf.fit(documents, labels.limit(0)).bias > 0

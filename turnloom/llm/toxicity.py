@@ -187,8 +187,8 @@ def fit(
         documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
         .join(F.broadcast(chosen), "id")  # at most ``limit`` rows
         .withColumn("words", numbers("text"))
-        .drop("text")
-        .dropDuplicates(["id"])
+        .groupBy("id", *[f"y{i}" for i in range(len(named))])
+        .agg(F.min("words").alias("words"))  # of rows that share an id
         .orderBy("id")
         .collect()
     )
