@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks.registry import query
-from checks.views import envelopes, table, triples, with_views
+from checks.views import envelopes, table, triples, turns, with_views
 from turnloom.operators.sampling import split_exact
 from turnloom.operators.scale import shared_folder
 from turnloom.operators.stats import source_summary
+from turnloom.operators.turns import assign_in_file_order
+from turnloom.schemas import CONVERSATION
 from turnloom.sources import readers, writers
 from turnloom.streaming.ingest import ingest_stream
 
@@ -131,3 +133,78 @@ def streamed_responses(spark, d):
         .json(f"{path}/out")
         .select("language_code", "custom_id", "status", "scene")
     )
+
+
+def _array_files(spark, d, path: str) -> None:
+    """Documents as arrays, one file per source, the elements in several lines."""
+    element = F.to_json(F.struct("doc_id", "lang", "text"))
+    spaced = F.concat(F.lit("\n  "), F.replace(element, F.lit(',"lang"'), F.lit(',\n   "lang"')))
+    (
+        table(spark, d, "documents")
+        .groupBy("source")
+        .agg(F.concat(F.lit("["), F.array_join(F.collect_list(spaced), ","), F.lit("\n]")).alias("value"))
+        .write.partitionBy("source")
+        .text(path)
+    )
+
+
+@query("SELECT doc_id, lang, text FROM documents")
+def json_array(spark, d):
+    path = _folder(spark)
+    _array_files(spark, d, path)
+    return readers.read_json_array(spark, f"{path}/*", DOCUMENT)
+
+
+@query("SELECT doc_id, lang, text FROM documents UNION ALL SELECT doc_id, lang, NULL FROM documents")
+def any_records(spark, d):
+    """Arrays, and lines beside them."""
+    path = _folder(spark)
+    _array_files(spark, d, f"{path}/arrays")
+    writers.write_jsonl(_documents(spark, d).select("doc_id", "lang"), f"{path}/lines")
+    return readers.read_records(spark, [f"{path}/arrays/*", f"{path}/lines"], DOCUMENT)
+
+
+@query("SELECT source AS folder, doc_id, lang, text FROM documents")
+def tree(spark, d):
+    """Array files below folders become lines in folders of the same names."""
+    path = _folder(spark)
+    _array_files(spark, d, f"{path}/in")
+    faults = writers.convert_tree(spark, f"{path}/in", f"{path}/out", DOCUMENT, "*.txt")
+    wrong = faults.select(F.col("error").alias("folder"))
+    folder = F.regexp_extract("_metadata.file_path", r"source=([^/]+)/part[^/]*/[^/]+$", 1)
+    rows = (
+        spark.read.schema(DOCUMENT)
+        .option("recursiveFileLookup", "true")
+        .json(f"{path}/out")
+        .select(folder.alias("folder"), "doc_id", "lang", "text")
+    )
+    return rows.unionByName(wrong, allowMissingColumns=True)
+
+
+@query(
+    with_views("turns")
+    + """SELECT coalesce(language_code, '__HIVE_DEFAULT_PARTITION__') AS folder, conversation_id AS conv_id,
+    'aac_' || row_number() OVER (PARTITION BY language_code ORDER BY conversation_id) AS number FROM (
+    SELECT DISTINCT conversation_id, language_code FROM turns WHERE language_code IS NOT NULL)"""
+)
+def file_order_ids(spark, d):
+    """Conversations in files by language, numbered by their place in them."""
+    path = _folder(spark)
+    ids = turns(spark, d, language=True).select("conversation_id", "language_code").distinct()
+    ids = ids.filter("language_code is not null")
+    scenes = ids.select("language_code", F.struct(F.col("conversation_id").cast("string").alias("scene")).alias("c"))
+    # one file per language, in the order of the ids
+    (
+        scenes.repartition("language_code")
+        .sortWithinPartitions("language_code", F.col("c.scene").cast("long"))
+        .select("language_code", "c.scene")
+        .write.partitionBy("language_code")
+        .json(path)
+    )
+    corpus = readers.read_corpus(spark, f"{path}/*/*", CONVERSATION, lang_from="parent")
+    numbered = assign_in_file_order(corpus)
+    return numbered.select(
+        F.regexp_extract("language_code", "=(.*)", 1).alias("folder"),
+        F.col("scene").cast("long").alias("conv_id"),
+        F.concat(F.lit("aac_"), F.regexp_extract("conversation_id", "_([0-9]+)$", 1)).alias("number"),
+    )

@@ -21,7 +21,7 @@ from turnloom.functions.text import (
 from turnloom.operators import filters, stats, tasks
 from turnloom.operators import turns as t
 from turnloom.operators.scale import spread
-from turnloom.plans.jobs import augment_turns, stats_report
+from turnloom.plans.jobs import augment_conversations, augment_turns, stats_report
 from turnloom.schemas import ERROR_RATES, FLAT_COLUMNS, LAYOUTS
 
 KEY = ["conversation_id", "turn_number"]
@@ -538,6 +538,34 @@ def augment_turns_(spark, d):
     return rows.drop("speaker", "utterance", "utterance_intended")
 
 
+@query(
+    with_views("turns")
+    + noise_sql(LAYOUTS, ERROR_RATES)
+    + f""", wide AS (SELECT conversation_id, turn_number, {_pivot(LAYOUTS, ERROR_RATES)}
+    FROM noisy GROUP BY 1, 2)
+    SELECT t.conversation_id, t.turn_number, is_aac_user, wide.* EXCLUDE (conversation_id, turn_number),
+    CASE WHEN is_aac_user THEN {MINIMAL} END AS minimally_corrected,
+    CASE WHEN is_aac_user THEN {FULL} END AS fully_corrected
+    FROM turns t LEFT JOIN wide USING (conversation_id, turn_number)"""
+)
+def augment_conversations_(spark, d):
+    """Whole conversations: the noise is drawn by a turn's place in the array, its number here."""
+    turn = F.struct("turn_number", "speaker", "utterance", "utterance_intended", "is_aac_user")
+    nested = (
+        turns(spark, d, language=True)
+        .groupBy("conversation_id", "language_code")
+        .agg(F.sort_array(F.collect_list(turn)).alias("conversation"))
+    )
+    rows = t.explode_turns(
+        augment_conversations(nested).withColumn(
+            "conversation", F.transform("conversation", lambda x: x.dropFields("turn_number"))
+        )
+    )
+    return rows.withColumn("turn_number", F.col("turn_number").cast("long")).drop(
+        "language_code", "speaker", "utterance", "utterance_intended"
+    )
+
+
 @query(
     with_views("turns")
     + """SELECT count(DISTINCT conversation_id) AS conversations,

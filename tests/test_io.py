@@ -41,7 +41,7 @@ def test_tolerant_jsonl(spark, write):
 
 def test_json_array(spark, write):
     path = write("a.json", '[\n {"a": 1},\n {"a": 2, "b": [3]}\n]')
-    assert [r.a for r in readers.read_json_array(spark, path, AB).collect()] == [1, 2]
+    assert sorted(r.a for r in readers.read_json_array(spark, path, AB).collect()) == [1, 2]
     for name, text in (("o.json", '{"a": 1}'), ("x.json", "nope")):
         with pytest.raises(Exception):
             readers.read_json_array(spark, write(name, text), AB).collect()
@@ -151,8 +151,9 @@ def test_convert_tree(spark, write, tmp_path):
     assert sorted((r.path.rsplit("/", 1)[1], r.error) for r in bad.collect()) == [
         ("bad.json", "not an array"), ("broken.json", "invalid JSON"),
     ]
-    rows = spark.read.json(f"{tmp_path}/dst")
-    assert sorted((r.file, r.a) for r in rows.collect()) == [("en/x", 1), ("en/x", 2), ("y", 3)]
+    for name, values in (("en/x", [1, 2]), ("y", [3])):
+        rows = spark.read.json(f"{tmp_path}/dst/{name}")
+        assert sorted(r.a for r in rows.collect()) == values
 
 
 def test_dataset_round_trip(spark, write, tmp_path):

@@ -13,11 +13,12 @@ from __future__ import annotations
 
 import hashlib
 import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -192,6 +193,76 @@ def _perturbed(
     return pd.DataFrame(columns)
 
 
+def _by_language(
+    table: pd.DataFrame, layouts: dict, default: str, seed: int, kinds: Sequence[str]
+) -> pd.DataFrame:
+    """``_perturbed`` of the ``text`` of each row, with the layouts of its language."""
+    own = [x if x in layouts else _base(x) for x in table["language"]]
+    own = pd.Series([x if x in layouts else default for x in own], index=table.index, dtype=object)
+    parts = [
+        _perturbed(rows["text"], rows["key"], layouts[name], seed, kinds).set_index(rows.index)
+        for name, rows in table.groupby(own, sort=False)
+    ]
+    return pd.concat(parts).reindex(table.index) if parts else pd.DataFrame()
+
+
+def _base(language: object) -> str:
+    return language.split("-")[0] if isinstance(language, str) else ""
+
+
+def noisy_turns(
+    texts: Column | str,
+    key: Sequence[Column | str],
+    language: Column | str,
+    variants: Mapping[str, Sequence[tuple[str, Grid, float]]],
+    default: str,
+    seed: int = 0,
+    kinds: Sequence[str] = PIPELINE_KINDS,
+) -> Column:
+    """``noisy_variants`` for an array of texts: an array of structs, one per text.
+
+    ``variants`` are by language; a locale takes those of its base language, else those of
+    ``default``. A text's key is the row's, and its place in the array. Null stays null.
+    """
+    if set(kinds) - set(PIPELINE_KINDS):
+        raise ValueError(f"kinds must be among {PIPELINE_KINDS}")
+    tags = [tag for tag, _, _ in variants[default]]
+    if any([tag for tag, _, _ in own] != tags for own in variants.values()):
+        raise ValueError("every language needs the same variants")
+    layouts = {
+        lang: [(tag, _layout(grid), rate) for tag, grid, rate in own] for lang, own in variants.items()
+    }
+    struct = T.StructType([T.StructField(tag, T.StringType()) for tag in tags])
+
+    @F.arrow_udf(T.ArrayType(struct))
+    def perturb(texts: pa.Array, keys: pa.Array, languages: pa.Array) -> pa.Array:
+        counts = np.array([0 if t is None else len(t) for t in texts.to_pylist()], np.int64)
+        ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+        row = np.repeat(np.arange(len(counts)), counts)
+        place = np.arange(len(row)) - ends[row]
+        keys, languages = keys.to_pylist(), languages.to_pylist()
+        table = pd.DataFrame(
+            {
+                "text": texts.flatten().to_pylist(),
+                "key": [f"{keys[r]}|{i}" for r, i in zip(row.tolist(), place.tolist())],
+                "language": [languages[r] for r in row.tolist()],
+            },
+            dtype=object,
+        )
+        done = [
+            _by_language(table.iloc[rows], layouts, default, seed, kinds)
+            for rows in _slices(table["text"])
+        ]
+        out = pd.concat(done) if done else pd.DataFrame({tag: [] for tag in tags})
+        values = pa.StructArray.from_arrays(
+            [pa.array(out[tag].tolist(), pa.string()) for tag in tags], names=tags
+        )
+        return pa.ListArray.from_arrays(ends, values)
+
+    row_key = F.concat_ws("|", *[as_column(k).cast("string") for k in key])
+    return perturb(as_column(texts), row_key, as_column(language))
+
+
 def noisy_variants(
     text: Column | str,
     key: Sequence[Column | str],

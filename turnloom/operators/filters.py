@@ -7,10 +7,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from turnloom.functions.prompts import prompt_of
-from turnloom.operators.scale import number_rows
+from turnloom.operators.scale import first_rows
 
 # Relations kept by default.
 RELATIONS = (
@@ -84,22 +83,14 @@ def to_entries(
     )
 
 
-def limit_entries(df: DataFrame, n: int | None, order: Sequence[str]) -> DataFrame:
+def limit_entries(df: DataFrame, n: int | None, order: Sequence[str | Column]) -> DataFrame:
     """The first ``n`` rows in input order; 0 or None keeps all.
 
     Rows that ``order`` leaves equal follow their other columns, so the choice among them is
-    the same in every run.
+    the same in every run; of rows that are equal in all columns as many stay as there is room
+    for. The last row that stays is found by counting, and no row is sorted or moved.
     """
-    if not n:
-        return df
-    named = [c for c in order if isinstance(c, str)]
-    ties = [
-        f.name
-        for f in df.schema.fields
-        if f.name not in named and not isinstance(f.dataType, (T.MapType, T.VariantType))
-    ]
-    numbered = number_rows(df, [*order, *ties], "_row")
-    return numbered.filter(F.col("_row") < n).select(*df.columns)
+    return first_rows(df, n, order) if n else df
 
 
 def aac_turns(turns: DataFrame) -> DataFrame:

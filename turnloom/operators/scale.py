@@ -1,8 +1,9 @@
-"""Three building blocks that keep the other operators safe at any size.
+"""Building blocks that keep the other operators safe at any size.
 
 * ``lookup_join`` joins rows to a table with one row per key so that a hot key can be
   split over many tasks;
 * ``number_rows`` gives dense row numbers in a given order without a one-task window;
+* ``first_rows`` filters by the n-th key of an order, which it finds by counting;
 * ``hash_order`` and ``hash_cutoff`` give a reproducible random order and the exact
   value below which the first ``n`` rows of it lie.
 """
@@ -15,12 +16,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from turnloom.functions.text import as_column
 
 # Buckets of the hash order, one hex digit each: 16 ** 4.
 _BUCKET_DIGITS = 4
 _SMALL_BUCKET = 10_000
+# Ranges that a pass over the keys of an order cuts what is left into.
+_RANGES = 32
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -118,6 +122,79 @@ def number_rows(
     )
 
 
+def _sortable(df: DataFrame, name: str) -> Column:
+    """A column to order by; what has no order of its own goes by its text."""
+    kind = df.schema[name].dataType
+    return F.to_json(name) if isinstance(kind, (T.MapType, T.VariantType)) else F.col(name)
+
+
+def first_rows(df: DataFrame, n: int, order: Sequence[str | Column]) -> DataFrame:
+    """The first ``n`` rows in ``order``, then by their other columns; nulls come first.
+
+    While more than ``_SMALL_BUCKET`` keys are wanted, a pass cuts the range that holds the n-th
+    one at some of its keys, counts the keys in between, and goes on within one part. The few
+    keys left are sorted, and the rows are filtered by the first key that is one too many: no row
+    is sorted or moved. Of rows that are equal in all columns as many stay as there is room for.
+    """
+    named = [c for c in order if isinstance(c, str)]
+    columns = [*order, *[_sortable(df, c) for c in df.columns if c not in named]]
+    key = F.struct(*[as_column(c).alias(f"k{i}") for i, c in enumerate(columns)])
+    keys = part = df.select(key.alias("_key"))
+    wanted, passes = n, 0
+    while wanted > _SMALL_BUCKET:
+        passes += 1
+        random = F.xxhash64("_key", F.lit(passes))
+        some = part.groupBy(F.pmod(random, F.lit(_RANGES))).agg(
+            F.min_by("_key", random).alias("_cut"), F.min("_key").alias("_low"), F.max("_key").alias("_top")
+        )
+        found = cut_lineage(
+            some.agg(
+                F.sort_array(F.collect_set("_cut")).alias("cuts"),
+                F.min("_low").alias("low"),
+                F.max("_top").alias("top"),
+            )
+        )
+        if found.filter("low < top").isEmpty():
+            break  # one key, or none
+        cuts = found.select("cuts").scalar()
+        below = F.size(F.filter(cuts, lambda c: c < F.col("_key")))
+        counts = dict(part.groupBy(below.alias("at")).count().collect())  # a row per range
+        at = 0
+        while at <= max(counts) and wanted > counts.get(at, 0):
+            wanted -= counts.get(at, 0)
+            at += 1
+        if at > max(counts):
+            return df
+        bounds = cut_lineage(
+            found.select(F.get("cuts", F.lit(at - 1)).alias("low"), F.get("cuts", F.lit(at)).alias("top"))
+        )
+        low, top = bounds.select("low").scalar(), bounds.select("top").scalar()
+        part = part.filter(
+            (low.isNull() | (F.col("_key") > low)) & (top.isNull() | (F.col("_key") <= top))
+        )
+    few = cut_lineage(part.orderBy("_key").limit(min(wanted, _SMALL_BUCKET) + 1))
+    edge = cut_lineage(few.agg(F.max("_key").alias("edge"), F.count(F.lit(1)).alias("rows")))
+    over = edge.select("edge").scalar()
+    rows = edge.first()["rows"]
+    if wanted > _SMALL_BUCKET:
+        # all that is left is one key
+        if part.count() <= wanted:
+            return df
+        copies = wanted
+    elif rows <= wanted:
+        return df
+    else:
+        copies = few.filter(F.col("_key") == over).count() - 1
+    out = df.filter(key < over)
+    if not copies:
+        return out
+    one = df.filter(key == over).limit(1)
+    again = df.sparkSession.range(copies).select(F.lit(0).alias("_same"))
+    return out.unionByName(
+        again.join(F.broadcast(one.withColumn("_same", F.lit(0))), "_same").select(*df.columns)
+    )
+
+
 def hash_order(key: Sequence[str | Column], seed: int | str = 0) -> Column:
     """A hex text that orders rows at random, the same in every run."""
     parts = [F.coalesce(as_column(k).cast("string"), F.lit("")) for k in key]

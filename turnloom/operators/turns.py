@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnloom.operators.filters import aac_turns
-from turnloom.operators.scale import number_rows
+from turnloom.operators.scale import cut_lineage, number_rows
 from turnloom.schemas import FLAT_COLUMNS
 
 # Turn numbers per window block; no result depends on it.
@@ -132,6 +132,43 @@ def assign_conversation_id(
     ).drop("_number")
 
 
+def assign_in_file_order(corpus: DataFrame, by: str = "language_code") -> DataFrame:
+    """Add ``{language}_{n}``, where n counts the language's rows from 1 in the order of files.
+
+    ``corpus`` has ``_file, _block, _length, _line`` as ``read_corpus`` gives them. Rows are
+    counted per block of a file; running sums over the blocks give each block its first number,
+    and a row adds its place in the block. The rows themselves stay where they are; the table
+    of blocks is broadcast or not by its size. A plan that cuts the files otherwise than the
+    count did fails. Where rows were filtered out of a block before, rows are sorted instead.
+    """
+    block = ["_file", "_block", "_length"]
+    blocks = cut_lineage(
+        corpus.groupBy(by, *block).agg(
+            F.count(F.lit(1)).alias("_rows"),
+            F.min("_line").alias("_first"),
+            F.max("_line").alias("_last"),
+        )
+    )
+    if not blocks.filter("_last - _first + 1 <> _rows").isEmpty():
+        return assign_conversation_id(corpus, ["_file", "_block", "_line"], by)
+    before = Window.partitionBy(by).orderBy("_file", "_block").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    starts = cut_lineage(
+        blocks.select(by, *block, "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    )
+    number = F.col("_before") + F.col("_line") - F.col("_first") + 1
+    known = F.when(
+        F.col("_before").isNull(),
+        F.raise_error(F.lit("the files were cut anew since their rows were counted")).cast("long"),
+    ).otherwise(number)
+    return (
+        corpus.join(starts, [by, *block], "left")
+        .withColumn("conversation_id", F.concat_ws("_", F.col(by), known.cast("string")))
+        .select(*corpus.columns, "conversation_id")
+    )
+
+
 def flatten_turns(turns: DataFrame, n: int = 3) -> DataFrame:
     """Flat examples from a turns table: AAC turns with context and next turn."""
     return _as_examples(aac_turns(with_surroundings(turns, n)))

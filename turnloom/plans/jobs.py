@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from turnloom.functions.keyboard import Grid, key_grid
-from turnloom.functions.noise_batch import noisy_variants
+from turnloom.functions.noise_batch import noisy_turns, noisy_variants
 from turnloom.functions.prompts import build_request, prompt_values
 from turnloom.functions.response import (
     body_content,
@@ -39,7 +39,7 @@ from turnloom.operators.translation import (
     translate_columns,
     unique_strings,
 )
-from turnloom.operators.turns import assign_conversation_id, flatten_examples
+from turnloom.operators.turns import assign_in_file_order, flatten_examples
 from turnloom.schemas import CONVERSATION, ERROR_RATES, GENERATION, LAYOUTS, TURN, noisy_columns
 from turnloom.sources.readers import read_corpus
 from turnloom.sources.writers import write_dataset, write_stats
@@ -93,6 +93,55 @@ def augment_turns(
     )
 
 
+def augment_conversations(
+    conversations: DataFrame,
+    key: Sequence[str] = ("conversation_id",),
+    grids: Mapping[str, Mapping[str, Grid]] | None = None,
+    rates: Mapping[str, float] = ERROR_RATES,
+    seed: int = 0,
+    language: str = "language_code",
+    default: str = "en",
+) -> DataFrame:
+    """The noisy and corrected forms of every AAC turn, inside the array of turns.
+
+    ``grids`` gives each language its layouts, by their names; a locale takes those of its base
+    language, else those of ``default``. Partner turns have nulls there. Turn fields of these
+    names are replaced, other fields and rows stay. A projection: nothing is exploded or moved.
+    """
+    grids = dict(grids or {})
+    grids.setdefault(default, {name: key_grid(name) for name in LAYOUTS})
+    variants = {
+        lang: [
+            (f"noisy_{name}_{severity}", grid, rate)
+            for severity, rate in rates.items()
+            for name, grid in layouts.items()
+        ]
+        for lang, layouts in grids.items()
+    }
+    tags = [tag for tag, _, _ in variants[default]]
+
+    def is_aac(t: Column) -> Column:
+        return F.coalesce(t["is_aac_user"], F.lit(False))
+
+    typed = F.transform("conversation", lambda t: F.when(is_aac(t), t["utterance"]))
+    noisy = noisy_turns(typed, key, language, variants, default, seed)
+
+    def with_forms(t: Column, i: Column) -> Column:
+        forms = {tag: F.get("_noisy", i)[tag] for tag in tags}
+        intended = F.coalesce(t["utterance_intended"], t["utterance"])
+        forms["minimally_corrected"] = F.when(is_aac(t), minimally_corrected(t["utterance"]))
+        forms["fully_corrected"] = F.when(is_aac(t), fully_corrected(intended))
+        for name, value in forms.items():
+            t = t.withField(name, value)
+        return t
+
+    return (
+        conversations.withColumn("_noisy", noisy)
+        .withColumn("conversation", F.transform("conversation", with_forms))
+        .select(*conversations.columns)
+    )
+
+
 def build_request_table(
     n: int,
     lang: str,
@@ -259,9 +308,7 @@ def build_dataset(
     schema: T.StructType = AUGMENTED_CONVERSATION,
 ) -> DataFrame:
     """Read conversation files, flatten, split and write the dataset; returns the examples."""
-    corpus = assign_conversation_id(
-        read_corpus(spark, glob, schema, lang_from), ["_file", "_block", "_line"]
-    )
+    corpus = assign_in_file_order(read_corpus(spark, glob, schema, lang_from))
     examples = flatten_examples(corpus)
     labelled = split_exact(examples, ["conversation_id", "turn_number"], test, seed)
     write_dataset(labelled, path)

@@ -10,8 +10,11 @@ from pyspark.sql import types as T
 
 from turnloom.functions.response import allow_repeated_keys, strict_json
 from turnloom.schemas import TRIPLE
+from turnloom.sources.arrays import NOT_AN_ARRAY, array_elements
 
 _BAD = "_corrupt"
+# A text of this size is still surely below Spark's limit of a variant.
+MOST_BYTES = 64 << 20
 
 
 def read_jsonl(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
@@ -34,45 +37,48 @@ def read_jsonl_tolerant(
     return good, parsed.filter(F.col("_row").isNull()).select("path", "content")
 
 
-def _array_guard(lines: DataFrame) -> Column:
-    return F.raise_error(F.concat(F.lit("not a JSON array: "), lines["_path"])).cast("string")
-
-
-def _whole_files(spark: SparkSession, path: str | list[str], recursive: bool = False) -> DataFrame:
-    return (
-        spark.read.option("recursiveFileLookup", str(recursive).lower())
-        .text(path, wholetext=True)
-        .select(F.col("_metadata.file_path").alias("_path"), "value")
+def _whole_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Small files as one value each; one that is larger than a value can be fails the read."""
+    read = spark.read.text(path, wholetext=True)
+    too_large = F.concat(F.lit("too large for one value: "), F.col("_metadata.file_path"))
+    return read.select(
+        F.col("_metadata.file_path").alias("_path"),
+        F.when(F.octet_length("value") > MOST_BYTES, F.raise_error(too_large).cast("string"))
+        .otherwise(F.col("value"))
+        .alias("value"),
     )
 
 
-def _elements(parsed: DataFrame, schema: T.StructType, keep: Sequence[str] = ()) -> DataFrame:
-    items = F.try_variant_get("_array", "$", "array<variant>")
-    rows = parsed.select(*keep, F.explode(items).alias("_item"))
+def _typed(items: DataFrame, schema: T.StructType, keep: Sequence[str] = ()) -> DataFrame:
+    """The elements as rows; one of another type is a row of nulls."""
     typed = F.try_variant_get("_item", "$", schema.simpleString())
-    return rows.select(*keep, typed.alias("_row")).select(*keep, "_row.*")
+    return items.select(*keep, typed.alias("_row")).select(*keep, "_row.*")
+
+
+def _no_faults(faults: DataFrame, like: DataFrame) -> DataFrame:
+    """No rows; a failure where there is a fault."""
+    told = F.raise_error(F.concat(F.col("error"), F.lit(": "), F.col("_path")))
+    return faults.select(
+        *[told.cast(f.dataType).alias(f.name) if not i else F.lit(None).cast(f.dataType).alias(f.name)
+          for i, f in enumerate(like.schema.fields)]
+    )
 
 
 def read_json_array(
     spark: SparkSession, path: str | list[str], schema: T.StructType, with_path: bool = False
 ) -> DataFrame:
-    """Files that each hold one array; any other content fails the read."""
-    files = _whole_files(spark, path)
-    parsed = files.withColumn("_json", F.try_parse_json("value"))
-    is_array = F.coalesce(F.schema_of_variant("_json").startswith("ARRAY"), F.lit(False))
-    checked = parsed.withColumn(
-        "_array",
-        F.when(is_array, F.col("_json")).otherwise(F.parse_json(_array_guard(parsed))),
-    )
-    return _elements(checked, schema, ["_path"] if with_path else [])
+    """Files that each hold one array, of any size; any other content fails the read."""
+    items, faults = array_elements(spark, path)
+    rows = _typed(items, schema, ["_path"] if with_path else [])
+    return rows.unionByName(_no_faults(faults, rows))
 
 
 def read_records(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     """Lines, an array, or an object with a ``data`` array, told apart file by file.
 
     A file is one of lines when its first line is an object of its own. Only the names of
-    the files come to the driver, which lists them for the scan anyway; files of lines are
-    then read in parts like any other, and only the rest are read whole.
+    the files come to the driver, which lists them for the scan anyway; files of lines and
+    arrays are then read in parts, and only objects are read whole.
     """
     text = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("_path"),
@@ -86,19 +92,25 @@ def read_records(spark: SparkSession, path: str | list[str], schema: T.StructTyp
     is_lines = F.col("_first").startswith("{") & F.col("_first").endswith("}")
     shapes = first.select("_path", is_lines.alias("lines")).collect()
     by_line = [r["_path"] for r in shapes if r["lines"]]
-    whole = [r["_path"] for r in shapes if not r["lines"]]
+    rest = [r["_path"] for r in shapes if not r["lines"]]
     out = spark.createDataFrame([], schema)
     if by_line:
         out = out.unionByName(read_jsonl(spark, by_line, schema))
-    if whole:
-        files = _whole_files(spark, whole).withColumn("_json", F.parse_json("value"))
-        data = F.try_variant_get("_json", "$.data", "variant")
-        array = (
-            F.when(F.schema_of_variant("_json").startswith("ARRAY"), F.col("_json"))
-            .when(F.schema_of_variant(data).startswith("ARRAY"), data)
-            .otherwise(F.parse_json(_array_guard(files)))
-        )
-        out = out.unionByName(_elements(files.withColumn("_array", array), schema))
+    if rest:
+        items, faults = array_elements(spark, rest)
+        rows = _typed(items, schema)
+        out = out.unionByName(rows)
+        objects = [r["_path"] for r in faults.filter(F.col("error") == NOT_AN_ARRAY).collect()]
+        out = out.unionByName(_no_faults(faults.filter(F.col("error") != NOT_AN_ARRAY), rows))
+        if objects:
+            parsed = _whole_files(spark, objects).withColumn("_json", F.parse_json("value"))
+            data = F.try_variant_get("_json", "$.data", "variant")
+            guard = F.raise_error(F.concat(F.lit("not a JSON array: "), F.col("_path")))
+            array = F.when(F.schema_of_variant(data).startswith("ARRAY"), data).otherwise(
+                F.parse_json(guard.cast("string"))
+            )
+            inner = F.explode(F.try_variant_get(array, "$", "array<variant>")).alias("_item")
+            out = out.unionByName(_typed(parsed.select(inner), schema))
     return out
 
 
@@ -149,6 +161,13 @@ def language_of(path: Column, lang_from: str = "name") -> Column:
     return F.regexp_extract(path, r"([^/]+)/[^/]+$", 1)
 
 
+def pin_splits(spark: SparkSession) -> None:
+    """Cut small inputs the same in every plan, however many executors there are by then."""
+    name = "spark.sql.files.minPartitionNum"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(spark.sparkContext.defaultParallelism))
+
+
 def read_corpus(
     spark: SparkSession, glob: str, schema: T.StructType, lang_from: str = "name"
 ) -> DataFrame:
@@ -157,8 +176,10 @@ def read_corpus(
     A bad line fails the read.
 
     ``_file``, ``_block`` and ``_line`` order the rows as in the files: blocks of a large
-    file are read apart, and lines count within a block.
+    file are read apart, ``_length`` bytes each, and lines count within a block. The session
+    keeps the way files are cut from then on, so that later plans number the lines alike.
     """
+    pin_splits(spark)
     rows = (
         spark.read.schema(schema)
         .option("mode", "FAILFAST")
@@ -167,6 +188,7 @@ def read_corpus(
             "*",
             F.col("_metadata.file_path").alias("_file"),
             F.col("_metadata.file_block_start").alias("_block"),
+            F.col("_metadata.file_block_length").alias("_length"),
             F.monotonically_increasing_id().alias("_line"),
         )
         .withColumn("language_code", language_of(F.col("_file"), lang_from))

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from turnloom.functions.response import allow_repeated_keys, strict_json
+from turnloom.sources.arrays import array_elements
 
 _NESTED = (T.ArrayType, T.MapType, T.StructType)
 
@@ -86,36 +89,46 @@ def write_dataset(df: DataFrame, path: str, mode: str = "error") -> None:
 def convert_tree(
     spark: SparkSession, src: str, dst: str, schema: T.StructType, pattern: str = "*.json"
 ) -> DataFrame:
-    """Rewrite every array file below ``src`` as lines below ``dst``, folder by folder.
+    """Rewrite every array file below ``src`` as lines below ``dst``, in the same folders.
 
+    ``sub/a.json`` becomes the folder ``sub/a`` with the lines in one or more parts. The lines
+    are written beside first, one folder per file, and each folder is then put in its place.
     Returns the files that hold no array, with the reason.
     """
-    files = (
-        spark.read.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", pattern)
-        .text(src, wholetext=True)
-        .select(F.col("_metadata.file_path").alias("path"), "value")
-        .withColumn("json", F.try_parse_json("value"))
+    items, faults = array_elements(
+        spark, src, recursiveFileLookup="true", pathGlobFilter=pattern
     )
-    is_array = F.coalesce(F.schema_of_variant("json").startswith("ARRAY"), F.lit(False))
     root = F.regexp_replace(F.lit(src), r"^[a-z]+:/*|/+$", "")
+    # names of files come escaped
+    named = F.url_decode(F.replace("_path", F.lit("+"), F.lit("%2B")))
     below = F.regexp_replace(
-        F.substr("path", F.instr("path", root) + F.length(root)), r"^/+|\.[^./]*$", ""
+        F.substr(named, F.instr(named, root) + F.length(root)), r"^/+|\.[^./]*$", ""
     )
-    item = F.try_variant_get("item", "$", schema.simpleString())
+    row = F.try_variant_get("_item", "$", schema.simpleString())
+    beside = f"{dst.rstrip('/')}/_beside-{uuid.uuid4().hex}"
     (
-        files.filter(is_array)
-        .select(
-            below.alias("file"),
-            F.explode(F.try_variant_get("json", "$", "array<variant>")).alias("item"),
-        )
-        .select("file", item.alias("row"))
-        .select("file", "row.*")
-        .write.partitionBy("file")
-        .json(dst)
+        items.select(below.alias("_file"), row.alias("row"))
+        .select("_file", "row.*")
+        .write.partitionBy("_file")
+        .json(beside)
     )
-    reason = F.when(F.col("json").isNull(), "invalid JSON").otherwise("not an array")
-    return files.filter(~is_array).select("path", reason.alias("error"))
+    _put_in_place(spark, beside, dst)
+    return faults.select(F.col("_path").alias("path"), "error")
+
+
+def _put_in_place(spark: SparkSession, beside: str, dst: str) -> None:
+    """Each ``_file=…`` folder to the relative path it names."""
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    top = path_of(beside)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in fs.listStatus(top):
+        name = status.getPath().getName()
+        if name.startswith("_file="):
+            place = path_of(f"{dst.rstrip('/')}/{unquote(name.removeprefix('_file='))}")
+            fs.mkdirs(place.getParent())
+            if not fs.rename(status.getPath(), place):
+                raise OSError(f"{place} is there already")
+    fs.delete(top, True)
 
 
 def write_stats(stats: DataFrame, path: str, mode: str = "overwrite") -> None:
