@@ -513,6 +513,76 @@ def request_table(spark, d):
     )
 
 
+LANGUAGES = ["en", "fr-FR", "de-AT", "es-ES"]  # es has neither templates nor names
+BY_LANGUAGE = {
+    "en": (TEMPLATES[:1] + TEMPLATES[2:], NAMES),
+    "fr": (["Parlez de {{ topic }} ({{ tone }})", "{{ aac_user }} et {{ partner }}"],
+           {"aac_user": ["Zoe", "Yves"], "partner": ["Xav"], "tone": ["gai"], "extra": []}),
+    "de-AT": (["Rede über {{ topic }} am {{ time_of_day }}"], None),
+}
+MANY_SQL = f"""WITH langs(lang, tl, sl) AS (VALUES ('en', 'en', 'en'), ('fr-FR', 'fr', 'fr'),
+        ('de-AT', 'de-AT', 'en'), ('es-ES', 'en', 'en')),
+    written(tl, tn, count) AS (VALUES {", ".join(
+        f"('{lang}', {i}, {len(texts)})" for lang, (texts, _) in BY_LANGUAGE.items() for i in range(len(texts)))}),
+    names(sl, key, vals) AS (VALUES {", ".join(
+        f"('{lang}', '{key}', {values})" for lang, (_, names) in BY_LANGUAGE.items() if names
+        for key, values in names.items() if values)}),
+    counts AS (SELECT tl, max(count) AS count FROM written GROUP BY 1),
+    {with_views("triples").removeprefix("WITH ").strip()}, graph AS ({GRAPH_SQL}),
+    numbered AS (SELECT *, row_number() OVER (ORDER BY md5(position || '|0')) - 1 AS e FROM graph),
+    size AS (SELECT count(*) AS n FROM graph),
+    ids AS (SELECT lang, tl, sl, unnest(range(n // 2)) AS request, n FROM langs, size),
+    drawn AS (SELECT *, ('0x' || substr(md5(lang || '|' || request || '|template|0'), 1, 13))::BIGINT
+        % count AS tn, ('0x' || substr(md5(lang || '|' || request || '|entry|0'), 1, 13))::BIGINT % n AS e
+        FROM ids JOIN counts USING (tl)),
+    picked AS (SELECT lang, request, draw || key AS name, vals[('0x' || substr(md5(lang || '|' || request
+        || '|' || draw || key || '|0'), 1, 13))::BIGINT % len(vals) + 1] AS value
+        FROM drawn JOIN names USING (sl), (VALUES (''), ('system.')) AS d(draw)),
+    wide AS (SELECT lang, request, max(value) FILTER (name = 'aac_user') AS u,
+        max(value) FILTER (name = 'partner') AS p, max(value) FILTER (name = 'tone') AS tone,
+        max(value) FILTER (name = 'time_of_day') AS tod,
+        max(value) FILTER (name = 'system.aac_user') AS su FROM picked GROUP BY 1, 2),
+    full_ AS (SELECT d.*, u, p, tone, tod, su, topic, which, relation FROM drawn d
+        JOIN wide USING (lang, request) JOIN numbered USING (e))"""
+
+
+@query(
+    MANY_SQL
+    + FILLED_SQL
+    + """ SELECT 'b_' || lang || '_' || request AS custom_id, lang AS lang_code, tn::INTEGER AS template_id,
+    'You write ' || CASE lang WHEN 'en' THEN 'en' WHEN 'fr-FR' THEN 'French' WHEN 'de-AT' THEN
+    'German' ELSE 'Spanish' END || ' dialogues for ' || su || '.' AS system_prompt,
+    CASE WHEN tl = 'fr' AND tn = 0 THEN 'Parlez de ' || t || ' (' || tone || ')'
+    WHEN tl = 'fr' THEN u || ' et ' || p
+    WHEN tl = 'de-AT' THEN 'Rede über ' || t || ' am ' || tod
+    WHEN tn = 0 THEN 'Talk about ' || t || ' at home.'
+    WHEN tn = 1 THEN 'Scene: ' || situation || '. '
+    WHEN tn = 2 THEN 'person with ALS in the ' || tod ELSE 'No holes here' END AS user_prompt
+    FROM said"""
+)
+def request_tables(spark, d):
+    """Four languages in one plan; two of them fall back on others' templates or names."""
+    graph = _graph(spark, d)
+    texts = [(lang, i, x) for lang, (xs, _) in BY_LANGUAGE.items() for i, x in enumerate(xs)]
+    names = [(lang, k, v) for lang, (_, kv) in BY_LANGUAGE.items() if kv for k, v in kv.items()]
+    requests = jobs.build_request_tables(
+        graph.count() // 2,
+        spark.createDataFrame([(x,) for x in LANGUAGES], "lang_code string"),
+        spark.createDataFrame(texts, "lang_code string, template_id int, template string"),
+        graph,
+        ["position"],
+        spark.createDataFrame(names, "lang_code string, key string, values array<string>"),
+        SYSTEM,
+        batch_id="b",
+    )
+    body = F.col("request.body")
+    return requests.select(
+        "request.custom_id", "metadata.lang_code", "metadata.template_id",
+        body["messages"][0]["content"].alias("system_prompt"),
+        body["messages"][1]["content"].alias("user_prompt"),
+    )
+
+
 @query(
     with_views("turns")
     + """SELECT conversation_id, turn_number, rtrim(CASE turn_number % 3

@@ -106,12 +106,36 @@ def test_cross_sample(spark):
 def test_ceil_of_share():
     assert math.ceil(0.2 * 24_550) == 4910
 
-
-def test_templates_must_be_few(spark):
-    with pytest.raises(ValueError):
-        sampling.bounded_rows(spark.range(20), "templates", limit=10)
-
-
 def test_intermediate_tables_lie_in_the_named_folder(spark, shared_folder):
     df = scale.cut_lineage(spark.range(3))
     assert df.count() == 3 and shared_folder in df.inputFiles()[0]
+
+
+def test_requests_of_every_language(spark):
+    langs = spark.createDataFrame([("en",), ("en",), ("pt-BR",), ("xx",)], "lang_code string")
+    templates = spark.createDataFrame(
+        [("en", 0, "{{ tone }}"), ("en", 1, "none"), ("pt", 7, "{{ a }} {{ a }} {{b}}")],
+        "lang_code string, template_id int, template string",
+    )
+    subs = spark.createDataFrame(
+        [("en", "tone", ["x", "y"]), ("en", "unused", ["z"]), ("pt", "a", ["1"]), ("pt", "b", None), ("en", "aac_user", ["U"])],
+        "lang_code string, key string, values array<string>",
+    )
+    entries = spark.createDataFrame([(i,) for i in range(5)], "pos int")
+    rows = sampling.sample_requests_by_language(
+        40, langs, templates, entries, ["pos"], subs, "{{ tone }}"
+    ).collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r.lang_code, []).append(r)
+    assert {k: sorted(r.request for r in v) for k, v in by.items()} == {
+        k: list(range(40)) for k in ("en", "pt-BR", "xx")}
+    assert {r.template_id for r in by["xx"]} == {0, 1} and {r.template_id for r in by["pt-BR"]} == {7}
+    assert all(r.picks == {"a": "1"} and r.system_picks == {} for r in by["pt-BR"])
+    for r in by["en"] + by["xx"]:
+        assert set(r.picks) == ({"aac_user", "tone"} if r.template_id == 0 else {"aac_user"})
+        assert set(r.system_picks) == {"aac_user", "tone"}
+    assert len({r.pos for r in rows}) == 5
+    none = templates.filter("lang_code = 'pt'")
+    left = sampling.sample_requests_by_language(3, langs, none, entries, ["pos"], subs)
+    assert {r.lang_code for r in left.collect()} == {"pt-BR"}

@@ -9,7 +9,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnloom.functions.text import as_column
-from turnloom.operators.scale import hash_cutoff, hash_order, lookup_join, number_by_hash, number_rows
+from turnloom.operators.joins import resolve_resource
+from turnloom.operators.scale import (
+    cut_lineage,
+    hash_cutoff,
+    hash_order,
+    lookup_join,
+    number_by_hash,
+    number_rows,
+)
 
 
 def draw(
@@ -135,9 +143,116 @@ def draw_values(n: int, substitutions: DataFrame, seed: int = 0, prefix: str = "
     )
 
 
-def bounded_rows(df: DataFrame, what: str, limit: int = 10_000) -> list:
-    """All rows of a table that must be short; more than ``limit`` is an error."""
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} {what}")
-    return rows
+# A hole of a template, ``{{ name }}``.
+HOLE = r"\{\{\s*([A-Za-z_]\w*)\s*\}\}"
+
+
+def holes(template: Column | str) -> Column:
+    """The distinct names a template has holes for."""
+    return F.array_distinct(F.regexp_extract_all(as_column(template), F.lit(HOLE), F.lit(1)))
+
+
+def sample_requests_by_language(
+    n: int,
+    langs: DataFrame,
+    templates: DataFrame,
+    entries: DataFrame,
+    entry_key: Sequence[str],
+    substitutions: DataFrame,
+    system_template: str = "",
+    needed: Sequence[str] = ("aac_user", "partner"),
+    seed: int = 0,
+    default: str = "en",
+) -> DataFrame:
+    """``n`` requests for each language: a random template, an entry, and values for its holes.
+
+    ``langs`` has ``lang_code``; ``templates`` has ``lang_code, template_id, template`` and
+    ``substitutions`` has ``lang_code, key, values``. A language without its own templates or
+    substitutions takes those of its base language, else those of ``default``; one for which
+    there is no template at all gets no request. Values are drawn only for names that the
+    template or ``system_template`` has holes for, and for ``needed``; ``picks`` and
+    ``system_picks`` draw apart from each other. Draws are with replacement, each by language,
+    request and name.
+    """
+    spark = langs.sparkSession
+    langs = langs.select("lang_code").distinct()
+
+    def of(resources: DataFrame, name: str) -> DataFrame:
+        codes = resources.select("lang_code").distinct().withColumn(name, F.col("lang_code"))
+        return resolve_resource(langs, codes, name, default)
+
+    texts = number_rows(
+        templates.select("lang_code", "template_id", "template"),
+        ["template_id", "template"], "_template", by=["lang_code"],
+    ).withColumnRenamed("lang_code", "_templates")
+    sizes = texts.groupBy("_templates").agg(F.count(F.lit(1)).alias("_count"))
+    lists = cut_lineage(
+        substitutions.filter(F.size("values") > 0).select(
+            F.col("lang_code").alias("_subs"), "key", "values"
+        )
+    )
+    system = F.array_union(holes(F.lit(system_template)), F.array(*[F.lit(k) for k in needed]))
+    # languages and their templates: what every request of them shares
+    plan = lookup_join(of(templates, "_templates"), sizes, "_templates", "inner")
+    plan = plan.join(of(substitutions, "_subs"), "lang_code")
+    own = plan.join(texts, "_templates").withColumn(
+        "_hole",
+        F.explode(
+            F.concat(
+                F.transform(
+                    F.array_union(holes("template"), F.array(*[F.lit(k) for k in needed])),
+                    lambda k: F.struct(F.lit("").alias("draw"), k.alias("key")),
+                ),
+                F.transform(system, lambda k: F.struct(F.lit("system.").alias("draw"), k.alias("key"))),
+            )
+        ),
+    )
+    sized = lists.select("_subs", F.col("key").alias("_key"), F.size("values").alias("_size"))
+    own = own.join(
+        sized, (own["_subs"] == sized["_subs"]) & (own["_hole.key"] == sized["_key"]), "left"
+    ).drop(sized["_subs"])
+    shared = cut_lineage(
+        own.groupBy("lang_code", "_count", "_subs", "_template", "template_id", "template").agg(
+            F.collect_list(
+                F.when(F.col("_size").isNotNull(), F.struct("_hole.draw", "_hole.key", "_size"))
+            ).alias("_holes")
+        )
+    )
+    numbered = number_rows(shared.select("lang_code", "_count").distinct(), ["lang_code"], "_lang")
+    numbered = cut_lineage(numbered)
+    size = entries.count()
+    total = numbered.count()
+    requests = spark.range(n * total).select(
+        F.expr(f"id div {max(n, 1)}").alias("_lang"), (F.col("id") % max(n, 1)).alias("request")
+    )
+    requests = lookup_join(requests, numbered, "_lang", "inner").select(
+        "lang_code",
+        "request",
+        draw(["lang_code", "request"], "template", seed, F.col("_count")).alias("_template"),
+        draw(["lang_code", "request"], "entry", seed, size).alias("_entry"),
+    )
+    drawn = lookup_join(requests, shared, ["lang_code", "_template"], "inner")
+    hole = drawn.select("lang_code", "request", "_subs", F.inline("_holes")).select(
+        "lang_code", "request", "_subs", "draw", "key",
+        draw(["lang_code", "request"], F.concat("draw", "key"), seed, F.col("_size")).cast("int").alias("_at"),
+    )
+    values = lists.select("_subs", "key", F.posexplode("values").alias("_at", "value"))
+    pair = F.struct("key", "value")
+
+    def picked(of_draw: str) -> Column:
+        pairs = F.sort_array(F.collect_list(F.when(F.col("draw") == of_draw, pair)))
+        return F.map_from_entries(pairs)
+
+    picks = (
+        lookup_join(hole, values, ["_subs", "key", "_at"], "inner")
+        .groupBy("lang_code", "request")
+        .agg(picked("").alias("picks"), picked("system.").alias("system_picks"))
+    )
+    none = F.create_map().cast("map<string,string>")
+    out = lookup_join(drawn, picks, ["lang_code", "request"]).select(
+        "lang_code", "request", "template_id", "template",
+        F.coalesce("picks", none).alias("picks"),
+        F.coalesce("system_picks", none).alias("system_picks"),
+        "_entry",
+    )
+    return pick_rows(out, entries, "_entry", entry_key, size, seed)

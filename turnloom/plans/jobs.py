@@ -28,7 +28,12 @@ from turnloom.functions.text import (
 )
 from turnloom.operators.filters import fill_intended, strip_partner_intended
 from turnloom.operators.joins import attach_any, coalesce_metadata
-from turnloom.operators.sampling import draw_values, sample_requests, split_exact
+from turnloom.operators.sampling import (
+    draw_values,
+    sample_requests,
+    sample_requests_by_language,
+    split_exact,
+)
 from turnloom.operators.scale import lookup_join
 from turnloom.operators.stats import corpus_stats, coverage, format_stats, with_total
 from turnloom.operators.translation import (
@@ -190,6 +195,48 @@ def build_request_table(
     )
 
 
+def build_request_tables(
+    n: int,
+    langs: DataFrame,
+    templates: DataFrame,
+    entries: DataFrame,
+    entry_key: Sequence[str],
+    substitutions: DataFrame,
+    system_template: str,
+    model: str = "gpt-4o-mini",
+    batch_id: str = "batch",
+    seed: int = 0,
+    created_at: str | None = None,
+) -> DataFrame:
+    """``build_request_table`` for every language of ``langs`` in one plan, ``n`` requests each.
+
+    Templates and substitutions are by language, with the fallback and the draws of
+    ``sample_requests_by_language``; ids are ``{batch}_{language}_{request}``.
+    """
+    drawn = sample_requests_by_language(
+        n, langs, templates, entries, entry_key, substitutions, system_template, seed=seed
+    )
+    lang = F.col("lang_code")
+
+    def values(picks: str) -> Column:
+        return prompt_values("topic", "relation", "which", F.col(picks), lang, F.col("aac_user_role"))
+
+    language = F.create_map(F.lit("language"), language_name(lang))
+    texts = drawn.select(
+        F.concat_ws("_", F.lit(batch_id), lang, F.col("request").cast("string")).alias("custom_id"),
+        "lang_code",
+        "template_id",
+        render("template", values("picks")).alias("user_prompt"),
+        render(F.lit(system_template), F.map_concat(values("system_picks"), language)).alias("system_prompt"),
+    )
+    metadata = F.struct(
+        "template_id", "lang_code", F.lit(created_at).cast("string").alias("created_at")
+    )
+    return texts.withColumn(
+        "request", build_request("custom_id", "system_prompt", "user_prompt", model)
+    ).withColumn("metadata", metadata)
+
+
 def request_twins(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The lines to submit, and the same lines with the metadata to keep."""
     return requests.select("request.*"), requests.select("request.*", "metadata")
