@@ -49,12 +49,7 @@ def latest_per_group(spark, d):
 
 
 def _response_ids(spark, d):
-    records = turns(spark, d).select(
-        custom_id(
-            F.col("conversation_id"), F.floor(F.col("turn_number") / 64)
-        ).alias("custom_id")
-    )
-    return records.distinct()
+    return turns(spark, d).select(custom_id(F.col("conversation_id")).alias("custom_id")).distinct()
 
 
 @query(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import query
 from checks.views import conversations, custom_id, table, triples, turns, with_views
-from turnloom.functions.keyboard import adjacency, grid_keys, key_grid, neighbours
+from turnloom.functions.keyboard import key_grid, neighbours
 from turnloom.functions.noise import draw_numbers, edit_count, edit_positions, let, noisy
 from turnloom.functions.text import (
     fully_corrected,
@@ -63,7 +63,7 @@ def lang_filter(spark, d):
     )
 
 
-NESTED = "conversation_id, segment, place AS turn_number, speaker, utterance, "
+NESTED = "conversation_id, place AS turn_number, speaker, utterance, "
 
 
 @query(
@@ -86,7 +86,7 @@ def strip_partner_intended(spark, d):
 
 def _nested_turns(nested):
     return t.explode_turns(nested).select(
-        "conversation_id", "segment", F.col("turn_number").cast("long").alias("turn_number"),
+        "conversation_id", F.col("turn_number").cast("long").alias("turn_number"),
         "speaker", "utterance", "utterance_intended",
     )
 
@@ -104,17 +104,17 @@ def render_turns(spark, d):
 
 @query(
     with_views("nested")
-    + """SELECT conversation_id, segment, string_agg(CASE WHEN is_aac_user
+    + """SELECT conversation_id, string_agg(CASE WHEN is_aac_user
          AND coalesce(intended, '') <> utterance
     THEN speaker || ' (AAC User):' || chr(10) || '  Intended: ' || coalesce(intended, '')
          || chr(10) || '  Actual: ' || utterance
     ELSE speaker || ':' || chr(10) || '  ' || utterance END, chr(10) || chr(10) ORDER BY place)
-    AS rendered FROM nested GROUP BY 1, 2"""
+    AS rendered FROM nested GROUP BY 1"""
 )
 def render_conversations(spark, d):
     nested = conversations(spark, d).withColumn("scene", F.lit(""))
     return t.render_conversations(nested, only_if_different=True).select(
-        "conversation_id", "segment", "rendered"
+        "conversation_id", "rendered"
     )
 
 
@@ -187,7 +187,7 @@ def flatten_turns(spark, d):
 )
 def flatten_examples(spark, d):
     nested = conversations(spark, d).withColumn(
-        "conversation_id", custom_id(F.col("conversation_id"), F.col("segment"))
+        "conversation_id", custom_id(F.col("conversation_id"))
     )
     return _joined_context(t.flatten_examples(nested)).select(*FLAT_COLUMNS[:14])
 
@@ -417,15 +417,22 @@ def _values(rows) -> str:
     return ", ".join("(" + ", ".join(cell(x) for x in row) + ")" for row in rows)
 
 
-NEIGHBOURS = _values(
-    (layout, key, keys) for layout in LAYOUTS for key, keys in adjacency(key_grid(layout)).items()
-)
-GRIDS = _values((layout, grid_keys(key_grid(layout))) for layout in LAYOUTS)
+# The key grids written out, row by row; neighbours are found by the SQL itself.
+CELLS = """rows_(layout, r, keys) AS (VALUES
+        ('qwerty', 0, 'QWERTYUIOP'), ('qwerty', 1, 'ASDFGHJKLZ'), ('qwerty', 2, 'XCVBNM_'),
+        ('abc', 0, 'ABCDEFGHIJ'), ('abc', 1, 'KLMNOPQRST'), ('abc', 2, 'UVWXYZ_'),
+        ('frequency', 0, '_ETAOINSRH'), ('frequency', 1, 'DLUCMFYWGP'), ('frequency', 2, 'BVKXQJZ')),
+    cells AS (SELECT layout, r, c, substr(keys, c, 1) AS key
+        FROM (SELECT *, unnest(range(1, length(keys) + 1))::INTEGER AS c FROM rows_)),
+    nb AS (SELECT a.layout, a.key, list(b.key ORDER BY b.r, b.c) AS keys FROM cells a JOIN cells b
+        ON a.layout = b.layout AND abs(a.r - b.r) <= 1 AND abs(a.c - b.c) <= 1
+        AND (a.r <> b.r OR a.c <> b.c) GROUP BY 1, 2),
+    grids AS (SELECT layout, list(key ORDER BY r, c) AS all_keys FROM cells GROUP BY 1)"""
 
 
 @query(
     with_views("turns")
-    + f""", nb(layout, key, keys) AS (VALUES {NEIGHBOURS}),
+    + f""", {CELLS},
     chars AS (SELECT ch, count(*) AS n FROM (SELECT unnest(string_split(utterance, '')) AS ch
               FROM turns) GROUP BY 1)
     SELECT ch, n, l.layout, coalesce(array_to_string(nb.keys, ' '), '') AS neighbours
@@ -451,8 +458,7 @@ def noise_sql(layouts, severities, text="utterance") -> str:
     )
     number = "('0x' || substr(h, {}, 7))::BIGINT"
     mix = "((({0} + {3}) * ({1} + {3}) % 2147483647) * ({2} + {3}) % 2147483647)"
-    return f""", nb(layout, key, keys) AS (VALUES {NEIGHBOURS}),
-    grids(layout, all_keys) AS (VALUES {GRIDS}),
+    return f""", {CELLS},
     variants(tag, layout, rate) AS (VALUES {variants}),
     seeds AS (SELECT t.*, v.*, length(t.{text}) AS n, md5(t.conversation_id || '|' ||
         t.turn_number || '|' || v.tag || '|0') AS h FROM turns t CROSS JOIN variants v
@@ -572,7 +578,7 @@ def augment_conversations_(spark, d):
     count(*) FILTER (is_aac_user) AS augmented_turns FROM turns"""
 )
 def augmentation_counts(spark, d):
-    return stats.augmentation_counts(augment_turns(spread(turns(spark, d)), ["qwerty"]))
+    return stats.augmentation_counts(augment_turns(spread(turns(spark, d))))
 
 
 @query(
@@ -586,9 +592,22 @@ def noise_report(spark, d):
     return stats.noise_report(rows, distance=False)
 
 
-@query()
+# The other engine's edit distance counts bytes: characters beyond ASCII become single bytes first.
+CODES = "".join(chr(i) for i in range(1, 32) if i not in (9, 10, 13))
+
+
+@query(
+    with_views("turns")
+    + noise_sql(LAYOUTS, ERROR_RATES)
+    + f""", odd AS (SELECT coalesce(string_agg(DISTINCT ch, ''), '') AS chars FROM (
+        SELECT unnest(string_split(utterance, '')) AS ch FROM turns) WHERE unicode(ch) > 127),
+    told AS (SELECT tag, text, noisy, length(text) AS n, levenshtein(
+        translate(text, chars, '{CODES}'), translate(noisy, chars, '{CODES}')) AS edits FROM noisy, odd)
+    SELECT split_part(tag, '_', 2) AS layout, split_part(tag, '_', 3) AS severity, count(*) AS texts,
+    avg((noisy <> text)::INTEGER) AS differs_rate, avg(edits) AS mean_distance,
+    avg(CASE WHEN n > 0 THEN edits / n * 100 END) AS mean_changed FROM told GROUP BY 1, 2"""
+)
 def noise_distances(spark, d):
-    """Edit distances have no equal in the other engine, which counts bytes."""
     rows = filters.aac_turns(augment_turns(spread(turns(spark, d))))
     return stats.noise_report(rows)
 

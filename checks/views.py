@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SEGMENT = 64
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -38,11 +36,8 @@ def turns(spark: SparkSession, sf_dir: str, language: bool = False) -> DataFrame
 
 
 def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested records of at most ``SEGMENT`` turns, so that no record is unbounded.
-
-    A record's first turn has no intended text.
-    """
-    first = F.col("turn_number") % SEGMENT == 0
+    """Whole conversations, each one nested record; its first turn has no intended text."""
+    first = F.col("turn_number") == 0
     turn = F.struct(
         "turn_number",
         "speaker",
@@ -51,8 +46,7 @@ def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
         "is_aac_user",
     )
     rows = turns(spark, sf_dir, language=True)
-    segment = F.floor(F.col("turn_number") / SEGMENT).alias("segment")
-    return rows.groupBy("conversation_id", "language_code", segment).agg(
+    return rows.groupBy("conversation_id", "language_code").agg(
         F.transform(
             F.sort_array(F.collect_list(turn)), lambda t: t.dropFields("turn_number")
         ).alias("conversation")
@@ -74,9 +68,8 @@ def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def custom_id(conversation: Column, segment: Column) -> Column:
-    tail = F.when(segment > 0, F.concat(F.lit("_s"), segment.cast("string"))).otherwise("")
-    return F.concat(F.lit("c_"), conversation.cast("string"), tail)
+def custom_id(conversation: Column) -> Column:
+    return F.concat(F.lit("c_"), conversation.cast("string"))
 
 
 def contents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,7 +92,7 @@ def contents(spark: SparkSession, sf_dir: str) -> DataFrame:
         conversations(spark, sf_dir)
         .withColumn("whole", whole)
         .select(
-            custom_id(F.col("conversation_id"), F.col("segment")).alias("custom_id"),
+            custom_id(F.col("conversation_id")).alias("custom_id"),
             "language_code",
             F.col("conversation_id").alias("line_no"),
             damaged.alias("content"),
@@ -169,11 +162,9 @@ SQL = {
                c.text AS utterance_intended
         FROM conversations c LEFT JOIN documents d ON d.doc_id = c.conv_id""",
     "nested": r"""
-        SELECT *, turn_number // 64 AS segment, turn_number % 64 AS place,
-               count(*) OVER (PARTITION BY conversation_id, turn_number // 64) AS n,
-               CASE WHEN turn_number % 64 = 0 THEN NULL ELSE utterance_intended END AS intended,
-               'c_' || conversation_id || CASE WHEN turn_number >= 64
-                    THEN '_s' || (turn_number // 64) ELSE '' END AS custom_id
+        SELECT *, turn_number AS place, count(*) OVER (PARTITION BY conversation_id) AS n,
+               CASE WHEN turn_number = 0 THEN NULL ELSE utterance_intended END AS intended,
+               'c_' || conversation_id AS custom_id
         FROM turns""",
     "triples": r"""
         SELECT p_partkey AS position, p_name AS head, p_type AS relation,

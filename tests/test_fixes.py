@@ -66,3 +66,32 @@ def test_every_response_is_stored_or_rejected(spark):
 def test_language_is_the_name_before_the_dot(spark, column):
     got = column(lambda c: readers.language_of(F.col(c)), ["x/conversations.jsonl", "x/a_en-GB.jsonl"])
     assert got == ["conversations", "en-GB"]
+
+
+def test_repeated_ids_are_read_alike_everywhere(spark):
+    body = '{"choices": [{"message": {"content": "{\\"conversation\\": []}"}}]}'
+    line = f'{{"custom_id": "x_1", "custom_id": "en_7_long", "response": {{"body": {body}}}}}'
+    lines = spark.createDataFrame([(1, line)], "line_no long, value string")
+    meta = spark.createDataFrame([("en_7", 1, "m1")], "custom_id string, line_no long, model string")
+    stored, rejects = process_responses(lines, meta)
+    assert [(r.custom_id, r.matched_id) for r in stored.collect()] == [("en_7_long", "en_7")]
+    assert rejects.collect() == []
+
+
+def test_other_queries_stand_without_the_corpus_operators(tmp_path):
+    import shutil
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parent.parent
+    for name in ("turnloom", "checks", "__spark_entry__.py", "corpus_pipeline.py"):
+        source = root / name
+        if source.is_dir():
+            shutil.copytree(source, tmp_path / name, ignore=shutil.ignore_patterns("llm", "__pycache__"))
+        elif source.exists():
+            shutil.copy(source, tmp_path / name)
+    code = "import __spark_entry__ as e; print(len(e.queries()), [n for n in e.queries() if n.startswith('op')])"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
+    assert done.stdout.strip().endswith("[]") and "pipeline" not in done.stdout

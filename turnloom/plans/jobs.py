@@ -313,7 +313,8 @@ def process_responses(
     good = rows.filter(F.col("status") != "error").drop("error")
     known = [c for c in meta.columns if c not in ("custom_id", order)]
     own = meta.select("custom_id", order, *[F.col(c).alias(f"meta_{c}") for c in known])
-    ids = lines.select(F.get_json_object(line, "$.custom_id").alias("custom_id"))
+    # the id that the rows themselves are read with: of repeated keys the last
+    ids = lines.select(F.try_variant_get(strict_json(line), "$.custom_id", "string").alias("custom_id"))
     every = attach_any(good, own, order, ids.filter(F.length("custom_id") > 0), how="left")
     alone = F.col("matched_id").isNull()
     rejects = rejects.unionByName(
