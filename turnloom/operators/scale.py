@@ -13,6 +13,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ from turnloom.functions.text import as_column
 _BUCKET_DIGITS = 4
 _SMALL_BUCKET = 10_000
 # Ranges that a pass over the keys of an order cuts what is left into.
-_RANGES = 32
+_RANGES = 16
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -157,7 +158,9 @@ def first_rows(df: DataFrame, n: int, order: Sequence[str | Column]) -> DataFram
         if found.filter("low < top").isEmpty():
             break  # one key, or none
         cuts = found.select("cuts").scalar()
-        below = F.size(F.filter(cuts, lambda c: c < F.col("_key")))
+        # a subquery cannot stand in a higher-order function; past the last cut it is null
+        at_or_after = [F.when(F.get(cuts, F.lit(i)) < F.col("_key"), 1).otherwise(0) for i in range(_RANGES)]
+        below = reduce(Column.__add__, at_or_after)
         counts = dict(part.groupBy(below.alias("at")).count().collect())  # a row per range
         at = 0
         while at <= max(counts) and wanted > counts.get(at, 0):
