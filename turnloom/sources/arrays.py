@@ -42,6 +42,7 @@ def _chunks(spark: SparkSession, path: str | list[str], separator: str, **option
             F.col("_metadata.file_path").alias("_path"),
             F.col("_metadata.file_block_start").alias("_block"),
             F.monotonically_increasing_id().alias("_line"),
+            F.col("_metadata.file_size").alias("_bytes"),
             F.col("value").alias("_text"),
         )
     )
@@ -162,7 +163,9 @@ def array_elements(
     allow_repeated_keys(spark)
     # separators gone from the end of a chunk: a fragment that ends at one gets its brace back
     brace = F.lit("}" if separator == "}" else "")
-    fragments = _fragments(_chunks(spark, path, separator, **options), separator)
+    chunks = _chunks(spark, path, separator, **options)
+    sizes = chunks.groupBy("_path").agg(F.max("_bytes").alias("_bytes"))
+    fragments = _fragments(chunks, separator).join(sizes, "_path")
     text = F.btrim(
         F.when(F.col("_last"), F.col("_text")).otherwise(F.concat("_text", brace)), F.lit(" \t\n\r")
     )
@@ -197,9 +200,11 @@ def array_elements(
                 & ~F.substring("_whole", 1, 1).isin("[", "")
                 & (
                     ~F.col("_last")
-                    | strict_json("_whole").isNotNull()
-                    # a file's last separator is not part of its last chunk
-                    | strict_json(F.concat("_whole", brace)).isNotNull()
+                    # a last separator is not part of its chunk, but of the file
+                    | strict_json(
+                        F.when(F.octet_length("_text") < F.col("_bytes"), F.concat("_whole", brace))
+                        .otherwise(F.col("_whole"))
+                    ).isNotNull()
                 )
             ).alias("_other"),
         )
