@@ -370,6 +370,20 @@ def test_rare_words_keep_their_counts(spark, docs, monkeypatch):
         assert math.isfinite(r.score)
 
 
+def test_scores_when_rows_come_in_another_order_each_time(spark, docs):
+    def shuffled(batches):
+        for batch in batches:
+            yield batch.take(np.random.default_rng().permutation(batch.num_rows))
+
+    rows = docs.select("doc_id", "text").coalesce(1)
+    moved = rows.mapInArrow(shuffled, rows.schema)
+    key = lambda r: (r.doc_id is None, r.doc_id or 0)
+    got = sorted(ngram_trie.score(moved).collect(), key=key)
+    for a, b in zip(got, sorted(ngram_trie.score(docs).collect(), key=key), strict=True):
+        assert a[:5] == b[:5]
+        assert a[5:] == (pytest.approx(b[5]), pytest.approx(b[6]))
+
+
 def test_trie_can_be_mapped(tmp_path):
     rng = np.random.default_rng(6)
     key, n = np.unique((rng.integers(2, 9, (500, 3)) << np.array([40, 20, 0])).sum(axis=1), return_counts=True)

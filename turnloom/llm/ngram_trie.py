@@ -16,7 +16,8 @@ sequences; a successor of a pair is stored not by its id but by its place among
 v. Probabilities (absolute discounting, interpolated down to single words) are quantised. A trie
 is one run of bytes that can be mapped into memory as it is. Texts are scored where the tries are:
 each distinct trigram of a block of texts goes to its shard with the texts that hold it, and only
-sums per text come back.
+sums per text come back. The ids of the texts travel with their block, so that no row is told by
+its place in a scan that is read again.
 """
 
 from __future__ import annotations
@@ -331,6 +332,13 @@ def _unpacked(blob: bytes) -> list[np.ndarray]:
     return out
 
 
+def _head(data: bytes) -> list[np.ndarray]:
+    """Columns of the head of a block: ids, flags, tokens, known tokens, base score."""
+    (texts,) = struct.unpack_from("<Q", data)
+    packed = len(data) - 8 * texts
+    return [*_unpacked(data[8:packed]), np.frombuffer(data, "<f8", texts, packed)]
+
+
 def _halves(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return words >> np.uint64(32), words & np.uint64(0xFFFFFFFF)
 
@@ -360,7 +368,7 @@ def _documents(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     crc = F.crc32(F.col(id_col).cast("string").cast("binary"))
     return df.select(
         F.monotonically_increasing_id().alias("uid"),
-        F.col(id_col).alias("id"),
+        F.col(id_col).cast("long").alias("id"),
         F.coalesce(crc % 5 == 1, F.lit(False)).alias("held_out"),
         F.col(text_col).alias("text"),
     )
@@ -419,8 +427,8 @@ _MESSAGE_KINDS = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
 
 
 def _blocks(batch, shared):
-    """Blocks of texts: their place in the batch, trigrams, the text each belongs to, and the
-    hashes of words that have places behind the ids."""
+    """Blocks of texts: their range in the batch, trigrams, the text each belongs to (its place in
+    the block), and the hashes of words that have places behind the ids."""
     texts = as_bytes(batch["text"])
     for lo, hi in text_blocks(texts, BLOCK_BYTES):
         codes, firsts = [], [np.zeros(1, np.int64)]
@@ -429,18 +437,18 @@ def _blocks(batch, shared):
             codes.append(_codes(shared.value, value))
             firsts.append(first[1:] + firsts[-1][-1])
         w, first = np.concatenate(codes), np.concatenate(firsts)
-        owner = np.repeat(np.arange(lo, hi), np.diff(first))
+        owner = np.repeat(np.arange(hi - lo), np.diff(first))
         tail = _tail(w)
         if len(tail) <= TAIL:
             w = _places(w, tail)
-            yield lo, _key(*_before(w, first), w), owner, tail
+            yield (lo, hi), _key(*_before(w, first), w), owner, tail
             continue
         # a very long text with more words than a message lists
         v, u = _before(w, first)
         for at in range(0, len(w), TAIL // 3):
             own = slice(at, at + TAIL // 3)
             tail = _tail(v[own], u[own], w[own])
-            yield lo, _key(*(_places(c[own], tail) for c in (v, u, w))), owner[own], tail
+            yield (lo, hi), _key(*(_places(c[own], tail) for c in (v, u, w))), owner[own], tail
 
 
 def _key(v: np.ndarray, u: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -453,14 +461,28 @@ def _apart(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _asked(docs: DataFrame, shared) -> DataFrame:
     """Messages to shards: the distinct trigrams of a block of texts, how often texts to learn
-    from hold each, and which texts hold it how often."""
+    from hold each, and which texts hold it how often. A message without trigrams heads a block, or
+    a part of a very long text: ids, tokens, and what words with ids add to the base score."""
 
     def ask(batches):
         vocabulary = shared.value
         for batch in batches:
             uid = batch["uid"].to_numpy()
-            learned = ~batch["held_out"].to_numpy(zero_copy_only=False)
-            for lo, key, owner, tail in _blocks(batch, shared):
+            no_id = batch["id"].is_null().to_numpy(zero_copy_only=False)
+            ids = batch["id"].fill_null(0).to_numpy()
+            held_out = batch["held_out"].to_numpy(zero_copy_only=False)
+            for (lo, hi), key, owner, tail in _blocks(batch, shared):
+                block, learned = int(uid[lo]), ~held_out[lo:hi]
+                w = key & _LOCAL
+                coded = w < TAIL
+                tokens_ = np.bincount(owner, minlength=hi - lo)
+                known = np.bincount(owner[coded], minlength=hi - lo)
+                base = np.bincount(owner[coded], vocabulary.log_p1[w[coded]], hi - lo)
+                flags = no_id[lo:hi] + 2 * held_out[lo:hi]
+                head = _packed(ids[lo:hi], flags, tokens_, known)
+                head = struct.pack("<Q", hi - lo) + head + base.astype("<f8").tobytes()
+                row = (block % vocabulary.shards, block, head, None)
+                yield _batch([row], "shard block texts blob", _MESSAGE_KINDS)
                 order = np.lexsort((owner, key))
                 key, owner = key[order], owner[order]
                 # equal trigrams of one text are one entry, with a number
@@ -483,10 +505,10 @@ def _asked(docs: DataFrame, shared) -> DataFrame:
                     if len(tail):
                         slot = np.unique(np.concatenate([c[c >= TAIL] for c in _apart(kinds)])) - TAIL
                     blob = _packed(kinds, n, seen, place, times[own], slot, *_halves(tail[slot]))
-                    rows.append((int(shard[own[0]]), int(uid[lo]), _packed(uid[texts]), blob))
+                    rows.append((int(shard[own[0]]), block, _packed(texts), blob))
                 yield _batch(rows, "shard block texts blob", _MESSAGE_KINDS)
 
-    return docs.select("uid", "held_out", "text").mapInArrow(ask, _MESSAGE)
+    return docs.select("uid", "id", "held_out", "text").mapInArrow(ask, _MESSAGE)
 
 
 def _split_pairs(docs: DataFrame, shared) -> DataFrame:
@@ -642,7 +664,8 @@ class _Shard:
         return out
 
     def answers(self, vocabulary: Vocabulary):
-        """``(block, texts, sums)`` of each message."""
+        """``(block, texts, sums)`` of each message: by text the score, how many tokens are learned
+        words without ids, and what all tokens without ids add to the base score."""
         *codes, n3 = _joined(self.triples, 4)
         v2, w2, n2 = _joined(self.pairs, 3)
         words, n1 = _joined(self.counts, 2)
@@ -664,14 +687,23 @@ class _Shard:
             texts = self.waiting.read(texts)
             columns = _unpacked(self.waiting.read(size))
             _, n, _, place, times = columns[:5]
-            vuw = (_places(c, tail) for c in self._words(columns))
-            p = np.repeat(trie.score_wide(*vuw, log_p1), n) * times
-            yield block, texts, np.bincount(place, p).astype("<f8").tobytes()
+            v, u, w = (_places(c, tail) for c in self._words(columns))
+            p = np.repeat(trie.score_wide(v, u, w, log_p1), n) * times
+            sums = [np.bincount(place, p)]
+            rare = np.zeros(len(sums[0]))
+            w = np.repeat(w, n)
+            own = np.flatnonzero(w >= TAIL)
+            if len(own):
+                place, times, w = place[own], times[own], w[own]
+                rare = np.bincount(place, times * (count[w - TAIL] > 0), len(rare))
+                sums.append(np.bincount(place, times * log_p1[w], len(rare)))
+            texts = _packed(_unpacked(texts)[0], rare)
+            yield block, texts, np.concatenate(sums).astype("<f8").tobytes()
         self.waiting.close()
 
 
 def _answered(docs: DataFrame, counts: DataFrame, shared, tail: bool) -> DataFrame:
-    """``(uid, score)``: the log10 probability of each text."""
+    """Per text: id, ``held_out``, ``tokens``, ``known``, ``base`` and ``score``."""
     messages = _asked(docs, shared)
     if (shared.value.parts > 1).any():
         messages = messages.unionByName(_split_pairs(docs, shared))
@@ -680,85 +712,54 @@ def _answered(docs: DataFrame, counts: DataFrame, shared, tail: bool) -> DataFra
 
     def answer(batches):
         current, shard = None, None
-        names, kinds = "block texts sums", [pa.int64(), pa.binary(), pa.binary()]
+        names, kinds = "block head texts sums", [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
 
         def done():
             if shard is not None:
                 rows = []
-                for row in shard.answers(shared.value):
-                    rows.append(row)
+                for block, texts, sums in shard.answers(shared.value):
+                    rows.append((block, None, texts, sums))
                     if len(rows) == 64:
                         yield _batch(rows, names, kinds)
                         rows = []
                 yield _batch(rows, names, kinds)
 
         for batch in batches:
+            heads = []
             for number, block, texts, blob in zip(*(batch[c].to_pylist() for c in ("shard", "block", "texts", "blob"))):
+                if blob is None:
+                    heads.append((block, texts, None, None))
+                    continue
                 if number != current:
                     yield from done()
                     current, shard = number, _Shard()
                 shard.learn(block, texts, blob)
+            yield _batch(heads, names, kinds)
         yield from done()
 
     def add(table: pa.Table) -> pa.Table:
-        texts = np.concatenate([_unpacked(b)[0] for b in table["texts"].to_pylist()])
-        sums = np.frombuffer(b"".join(table["sums"].to_pylist()), "<f8")
-        uid, place = np.unique(texts, return_inverse=True)
-        return pa.table({"uid": uid, "score": np.bincount(place, sums)})
+        heads = [_head(h) for h in sorted(table["head"].drop_null().to_pylist())]
+        ids, flags = heads[0][:2]
+        counted, known, base = (np.sum(c, axis=0) for c in list(zip(*heads))[2:])
+        score = np.zeros(len(ids))
+        answers = zip(table["texts"].drop_null().to_pylist(), table["sums"].drop_null().to_pylist())
+        # in an order of their own, so that sums are the same each time
+        for texts, sums in sorted(answers):
+            place, rare = _unpacked(texts)
+            sums = np.frombuffer(sums, "<f8").reshape(-1, len(place))
+            score[place] += sums[0]
+            known[place] += rare
+            if len(sums) > 1:
+                base[place] += sums[1]
+        columns = [pa.array(ids, mask=flags % 2 == 1), flags >= 2, counted, known, base, score]
+        return pa.table(dict(zip("id held_out tokens known base score".split(), columns)))
 
     return (
         messages.repartition("shard")
         .sortWithinPartitions("shard")
-        .mapInArrow(answer, "block long, texts binary, sums binary")
+        .mapInArrow(answer, "block long, head binary, texts binary, sums binary")
         .groupBy("block")  # the messages of one block of texts, from all shards
-        .applyInArrow(add, "uid long, score double")
-    )
-
-
-def _singles(docs: DataFrame, shared) -> DataFrame:
-    """Per text: sums over words with ids, and one row per other word with its number."""
-
-    def run(batches):
-        vocabulary = shared.value
-        log_count = np.log10(vocabulary.counts + 0.5)
-        names = "uid id held_out word n base tokens".split()
-        for batch in batches:
-            texts = as_bytes(batch["text"])
-            for lo, hi in text_blocks(texts):
-                value, first = tokens(texts[lo:hi])
-                owner = np.repeat(np.arange(hi - lo), np.diff(first))
-                at, there = _find(vocabulary.hashes, value)
-                known = np.bincount(owner[there], minlength=hi - lo)
-                base = np.bincount(owner[there], _at(log_count, at[there]), hi - lo)
-                rows = batch.slice(lo, hi - lo)
-                size = hi - lo
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        rows["uid"], rows["id"], rows["held_out"],
-                        pa.nulls(size, pa.int64()), pa.array(known, pa.int64()), pa.array(base.astype(float)),
-                        pa.array(np.diff(first), pa.int64()),
-                    ],
-                    names=names,
-                )
-                rest = np.flatnonzero(~there)
-                order = rest[np.lexsort((value[rest], owner[rest]))]
-                fresh = np.ones(len(order), bool)
-                fresh[1:] = (np.diff(owner[order]) != 0) | (value[order[1:]] != value[order[:-1]])
-                own = np.flatnonzero(fresh)
-                times = np.diff(np.append(own, len(order)))
-                uid = rows["uid"].to_numpy()[owner[order[own]]]
-                size = len(own)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(uid, pa.int64()), pa.nulls(size, pa.int64()), pa.nulls(size, pa.bool_()),
-                        pa.array(value[order[own]].view(np.int64), pa.int64()),
-                        pa.array(times, pa.int64()), pa.nulls(size, pa.float64()), pa.nulls(size, pa.int64()),
-                    ],
-                    names=names,
-                )
-
-    return docs.select("uid", F.col("id").cast("long").alias("id"), "held_out", "text").mapInArrow(
-        run, "uid long, id long, held_out boolean, word long, n long, base double, tokens long"
+        .applyInArrow(add, "id long, held_out boolean, tokens long, known long, base double, score double")
     )
 
 
@@ -768,8 +769,8 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
 
     Learns from the rows whose ``crc32(id) mod 5`` is not 1; a null id is learned from. A null
     text is an empty one: its end is its only token. Repeated rows count and are scored each.
-    With nothing to learn from, all probability lies on unseen words. ``df`` must give the same
-    rows in the same partitions each time, as a stored table does; other columns are ignored.
+    With nothing to learn from, all probability lies on unseen words. ``df`` is read more than
+    once and must hold the same rows each time, in any partitions; other columns are ignored.
     """
     spark = df.sparkSession
     docs = _documents(df, id_col, text_col)
@@ -777,36 +778,13 @@ def score(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     vocabulary, facts = vocabulary_of(counts)
     shared = spark.sparkContext.broadcast(vocabulary)  # bounded by VOCABULARY
 
-    sums = _answered(docs, counts, shared, facts["distinct"] > len(vocabulary.hashes))
-    singles = _singles(docs, shared)
-    rare = (
-        singles.filter("word is not null")
-        .select("uid", "word", F.col("n").alias("times"))
-        .join(counts, "word", "left")
-        .select(
-            "uid",
-            F.when(F.col("n") > 0, F.col("times")).otherwise(0).alias("known"),
-            (F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("base"),
-        )
-    )
-    none = F.lit(0.0)
-    parts = (
-        rare.select("uid", "known", "base", none.alias("score"))
-        .unionByName(sums.select("uid", F.lit(0).cast("long").alias("known"), none.alias("base"), "score"))
-        .groupBy("uid")
-        .agg(F.sum("known").alias("known"), F.sum("base").alias("more"), F.sum("score").alias("score"))
-    )
-    log_all = float(np.log10(max(facts["denominator"], 0.5)))
-    return (
-        singles.filter("word is null")
-        .join(parts, "uid", "left")
-        .select(
-            F.col("id").alias(id_col),
-            "held_out",
-            F.col("tokens").alias("n_tokens"),
-            (F.col("n") + F.coalesce("known", F.lit(0))).cast("long").alias("n_known"),
-            F.lit(facts["tokens"]).cast("long").alias("train_tokens"),
-            (F.col("base") + F.coalesce("more", none) - F.col("tokens") * log_all).alias("base_score"),
-            F.coalesce("score", none).alias("score"),
-        )
+    rows = _answered(docs, counts, shared, facts["distinct"] > len(vocabulary.hashes))
+    return rows.select(
+        F.col("id").alias(id_col),
+        "held_out",
+        F.col("tokens").alias("n_tokens"),
+        F.col("known").alias("n_known"),
+        F.lit(facts["tokens"]).cast("long").alias("train_tokens"),
+        F.col("base").alias("base_score"),
+        "score",
     )
