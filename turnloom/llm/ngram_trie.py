@@ -251,9 +251,27 @@ def tokens(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     return value, words.first + np.arange(len(words.first))
 
 
-def _codes(vocabulary: Vocabulary, value: np.ndarray) -> np.ndarray:
-    at, there = _find(vocabulary.hashes, value)
-    return np.where(there, (at + FIRST_ID).astype(np.uint64), value)
+class _Index:
+    """The words with ids by the leading bits of their hashes."""
+
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        bits = max(1, len(vocabulary.hashes).bit_length())
+        self.shift = np.uint64(64 - bits)
+        # no word has the hash zero
+        self.hashes = np.append(vocabulary.hashes, np.uint64(0))
+        sizes = np.bincount((vocabulary.hashes >> self.shift).astype(np.int64), minlength=1 << bits)
+        self.first = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+
+    def codes(self, value: np.ndarray) -> np.ndarray:
+        bucket = (value >> self.shift).astype(np.int64)
+        at, end = self.first[bucket], self.first[bucket + 1]
+        out, own = value.copy(), np.arange(len(value))
+        while len(own):
+            found = self.hashes[at] == value[own]
+            out[own[found]] = at[found] + FIRST_ID
+            more = np.flatnonzero(~found & (at + 1 < end))
+            own, at, end = own[more], at[more] + 1, end[more]
+        return out
 
 
 def _tail(*codes: np.ndarray) -> np.ndarray:
@@ -307,13 +325,17 @@ def _shard_of(vocabulary: Vocabulary, v: np.ndarray, part: np.ndarray) -> np.nda
 
 
 def _packed(*columns: np.ndarray) -> bytes:
-    """Integer columns, the first sorted and stored as steps; bytes of equal weight together."""
-    columns = (np.diff(columns[0], prepend=0), *columns[1:])
-    head = struct.pack(f"<B{len(columns)}Q", len(columns), *map(len, columns))
-    kinds = ("<i8", *["<u4"] * (len(columns) - 1))
+    """Integer columns, the first sorted and stored as steps; bytes of equal weight together, as
+    many as the column's largest number has. Columns but the first hold no negative numbers."""
+    columns = [np.ascontiguousarray(c, dtype=np.int64).view(np.uint64) for c in columns]
+    if len(columns[0]):
+        columns[0] = np.diff(columns[0], prepend=np.uint64(0))
+    widths = [(int(c.max(initial=0)).bit_length() + 7) // 8 for c in columns]
+    head = struct.pack(f"<B{len(columns)}Q{len(columns)}B", len(columns), *map(len, columns), *widths)
     planes = (
-        np.ascontiguousarray(c.astype(k)).view(np.uint8).reshape(len(c), int(k[2])).T.tobytes()
-        for c, k in zip(columns, kinds)
+        (c >> np.uint64(8 * i)).astype(np.uint8).tobytes()
+        for c, width in zip(columns, widths)
+        for i in range(width)
     )
     return zstandard.ZstdCompressor(level=3).compress(head + b"".join(planes))
 
@@ -321,14 +343,16 @@ def _packed(*columns: np.ndarray) -> bytes:
 def _unpacked(blob: bytes) -> list[np.ndarray]:
     data = zstandard.ZstdDecompressor().decompress(blob)
     n = data[0]
-    sizes = struct.unpack_from(f"<{n}Q", data, 1)
-    at, out = 1 + 8 * n, []
-    for i, size in enumerate(sizes):
-        width = 4 if i else 8
-        planes = np.frombuffer(data, np.uint8, size * width, at).reshape(width, size)
-        column = np.ascontiguousarray(planes.T).view("<u4" if i else "<i8").ravel()
-        at += size * width
-        out.append(column.astype(np.int64) if i else np.cumsum(column))
+    sizes = struct.unpack_from(f"<{n}Q{n}B", data, 1)
+    at, out = 1 + 9 * n, []
+    for size, width in zip(sizes[:n], sizes[n:]):
+        column = np.zeros(size, np.uint64)
+        for i in range(width):
+            plane = np.frombuffer(data, np.uint8, size, at).astype(np.uint64)
+            column |= plane << np.uint64(8 * i)
+            at += size
+        out.append(column.view(np.int64))
+    out[0] = np.cumsum(out[0])
     return out
 
 
@@ -426,7 +450,7 @@ _MESSAGE = "shard long, block long, texts binary, blob binary"
 _MESSAGE_KINDS = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
 
 
-def _blocks(batch, shared):
+def _blocks(batch, index: _Index):
     """Blocks of texts: their range in the batch, trigrams, the text each belongs to (its place in
     the block), and the hashes of words that have places behind the ids."""
     texts = as_bytes(batch["text"])
@@ -434,7 +458,7 @@ def _blocks(batch, shared):
         codes, firsts = [], [np.zeros(1, np.int64)]
         for a, b in text_blocks(texts[lo:hi]):
             value, first = tokens(texts[lo + a : lo + b])
-            codes.append(_codes(shared.value, value))
+            codes.append(index.codes(value))
             firsts.append(first[1:] + firsts[-1][-1])
         w, first = np.concatenate(codes), np.concatenate(firsts)
         owner = np.repeat(np.arange(hi - lo), np.diff(first))
@@ -466,12 +490,13 @@ def _asked(docs: DataFrame, shared) -> DataFrame:
 
     def ask(batches):
         vocabulary = shared.value
+        index = _Index(vocabulary)
         for batch in batches:
             uid = batch["uid"].to_numpy()
             no_id = batch["id"].is_null().to_numpy(zero_copy_only=False)
             ids = batch["id"].fill_null(0).to_numpy()
             held_out = batch["held_out"].to_numpy(zero_copy_only=False)
-            for (lo, hi), key, owner, tail in _blocks(batch, shared):
+            for (lo, hi), key, owner, tail in _blocks(batch, index):
                 block, learned = int(uid[lo]), ~held_out[lo:hi]
                 w = key & _LOCAL
                 coded = w < TAIL
@@ -530,12 +555,25 @@ def _split_pairs(docs: DataFrame, shared) -> DataFrame:
 
     def count(batches):
         vocabulary = shared.value
+        index = _Index(vocabulary)
+        split_ids = np.flatnonzero(vocabulary.parts > 1)
+        split_ids = split_ids[split_ids >= FIRST_ID]
+        split_words = vocabulary.hashes[split_ids - FIRST_ID]
         for batch in batches:
-            for _, key, _, tail in _blocks(batch, shared):
-                v, _, w = _apart(key)
-                v = _coded(v, tail)
-                own = _parts(vocabulary, v) > 1
-                pair, n = np.unique(v[own].astype(np.int64) << 32 | w[own], return_counts=True)
+            texts = as_bytes(batch["text"])
+            for lo, hi in text_blocks(texts, BLOCK_BYTES):
+                value, first = tokens(texts[lo:hi])
+                # only what stands behind a split word is looked up
+                at, there = _find(split_words, value[:-1])
+                there[first[1:-1] - 1] = False
+                behind = np.flatnonzero(there)
+                v, w = split_ids[at[behind]], value[behind + 1]
+                if vocabulary.parts[BEGIN] > 1:
+                    v = np.concatenate([v, np.full(hi - lo, BEGIN)])
+                    w = np.concatenate([w, value[first[:-1]]])
+                w = index.codes(w)
+                tail = _tail(w)
+                pair, n = np.unique(v << 32 | _places(w, tail), return_counts=True)
                 v, w = (pair >> 32).astype(np.uint64), _coded(pair & 0xFFFFFFFF, tail)
                 place = mix(mix(v) ^ w) % np.uint64(vocabulary.shards)
                 yield message(place.astype(np.int64), v, w, n)
@@ -590,13 +628,15 @@ def _tail_counts(docs: DataFrame, counts: DataFrame, shared) -> DataFrame:
 
     def want(batches):
         vocabulary = shared.value
+        index = _Index(vocabulary)
         for batch in batches:
-            for _, key, _, tail in _blocks(batch, shared):
+            for _, key, _, tail in _blocks(batch, index):
                 v, u, w = _apart(key[(key & _LOCAL) >= TAIL])
                 shard = _shard(vocabulary, _coded(v, tail), _coded(u, tail))
-                rows = np.unique(np.stack([shard, w]), axis=1)
-                word = tail[rows[1] - TAIL].view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(rows[0]), pa.array(word)], names=["shard", "word"])
+                rows = np.unique(shard << LOCAL_BITS | w)
+                word = tail[(rows & _LOCAL) - TAIL].view(np.int64)
+                columns = [pa.array(rows >> LOCAL_BITS), pa.array(word)]
+                yield pa.RecordBatch.from_arrays(columns, names=["shard", "word"])
 
     def message(table: pa.Table) -> pa.Table:
         word, n = table["word"].to_numpy(), table["n"].to_numpy()
