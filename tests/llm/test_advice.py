@@ -136,3 +136,12 @@ def test_chained_pieces_have_the_ids_of_each_alone():
     library = [array("I", x).tobytes() for x in words_.encode(pieces)]
     assert words_.resolve(pieces) == alone == library
     assert words_._parted("ab", [1, 1]) is None or len(words_.encode(["ab"])[0]) == 2
+
+
+def test_a_page_in_an_unknown_language_keeps_its_text():
+    # "on" and "se" are listed words of other languages, and too few to decide by
+    first = "Talo on vanha ja se sijaitsee meren rannalla, jossa tuuli puhaltaa usein kovaa syksyisin. " * 4
+    second = "Kylän asukkaat kertovat mielellään tarinoita menneistä ajoista ja kalastajien elämästä. " * 3
+    menu = "<ul>" + "".join(f'<li><a href="/{i}">sivu {i}</a></li>' for i in range(9)) + "</ul>"
+    page = f"<body>{menu}<div>{first}</div><p>Lyhyt väli.</p><div>{second}</div><footer>yhteys</footer></body>"
+    assert html_text.main_text(page) == f"{first.strip()}\n\nLyhyt väli.\n\n{second.strip()}"

@@ -247,16 +247,17 @@ def first_pass(block: Block, has_main: bool) -> bool | None:
         return True
     if share >= FEW_STOP_WORDS:
         return True if len(block.text) >= LONG_CHARS else None
-    # without any known word it may be another language, or no running text
-    return False if share else None
+    # few known words: another language, or no running text
+    return None
 
 
 def labels(page: list[Block]) -> list[bool]:
-    """Both passes. Where no block has a known stop word, length alone decides. Ties between two neighbours go to main text inside an article or main
-    element and to a heading before main text; elsewhere both must be main text."""
+    """Both passes. Where the first finds no main text by stop words, long open blocks are it. Ties
+    between two neighbours go to main text inside an article or main element and to a heading
+    before main text; elsewhere both must be main text."""
     has_main = any(b.main and not b.aside for b in page)
     first = [first_pass(b, has_main) for b in page]
-    if not has_main and not any(stop_word_share(b) for b in page if not b.aside):
+    if not has_main and True not in first:
         long = (len(b.text) >= LONG_CHARS for b in page)
         first = [True if x is None and y else x for x, y in zip(first, long)]
     before = _nearest(page, first)
