@@ -277,13 +277,13 @@ def labels(page: list[Block]) -> list[bool]:
 
 
 def _nearest(page: list[Block], first: list[bool | None]) -> list[bool | None]:
-    """For each block the label last decided before it in the same part; an article is a part,
-    without what is set aside in it, and so is all that lies outside articles."""
+    """For each block the label last decided before it in the same part; an article is a part, and
+    so is all that lies outside articles. What elements or names set aside decides for no other."""
     last: dict[int, bool] = {}
     out = []
     for block, label in zip(page, first):
         out.append(last.get(block.main))
-        if label is not None and not (block.main and block.aside):
+        if label is not None and not block.aside:
             last[block.main] = label
     return out
 
