@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnloom.functions.text import locale_base
+from turnloom.operators.prefixes import first_prefix_match
 from turnloom.operators.scale import lookup_join, number_rows
 
 # What a response counts as when its metadata does not say.
@@ -35,41 +36,14 @@ def attach_metadata(
     return lookup_join(responses, latest, "custom_id", how)
 
 
-def prefix_matches(ids: DataFrame, meta: DataFrame, order: str = "line_no") -> DataFrame:
+def prefix_matches(
+    ids: DataFrame, meta: DataFrame, order: str = "line_no", partitions: int | None = None
+) -> DataFrame:
     """``custom_id`` → ``matched_id``: the first metadata id of which one is a prefix of the other.
 
-    Works on distinct ids and on equal keys only. An id is a prefix of another one when
-    it equals one of that one's prefixes, so each side offers its prefixes: every prefix
-    of a metadata id keeps the first id that has it, and a response id looks up itself
-    there and its own prefixes among the whole ids.
+    Both sides are sorted by id once and merged, range by range; see ``first_prefix_match``.
     """
-    first = meta.groupBy(F.col("custom_id").alias("id")).agg(F.min(order).alias("line"))
-    best = F.min(F.struct("line", "id")).alias("best")
-
-    def prefixes(c: str) -> Column:
-        id_ = F.col(c)
-        return F.transform(F.sequence(F.lit(1), F.length(id_)), lambda n: F.left(id_, n))
-
-    is_prefix = (
-        first.filter(F.length("id") > 0)
-        .select(F.explode(prefixes("id")).alias("key"), "line", "id")
-        .groupBy("key")
-        .agg(best)
-        .withColumn("kind", F.lit("prefix"))
-    )
-    is_whole = first.select(
-        F.col("id").alias("key"), F.struct("line", "id").alias("best"), F.lit("whole").alias("kind")
-    )
-    ids = ids.select("custom_id").filter(F.length("custom_id") > 0).distinct()
-    itself = F.struct(F.col("custom_id").alias("key"), F.lit("prefix").alias("kind"))
-    shorter = F.transform(
-        prefixes("custom_id"), lambda p: F.struct(p.alias("key"), F.lit("whole").alias("kind"))
-    )
-    wanted = ids.select("custom_id", F.inline(F.concat(F.array(itself), shorter)))
-    found = lookup_join(wanted, is_prefix.unionByName(is_whole), ["key", "kind"], "inner")
-    return found.groupBy("custom_id").agg(F.min("best").alias("best")).select(
-        "custom_id", F.col("best.id").alias("matched_id")
-    )
+    return first_prefix_match(ids, meta, order, "custom_id", partitions)
 
 
 def _by_prefix(ids: DataFrame, meta: DataFrame, order: str) -> DataFrame:
