@@ -18,7 +18,7 @@ from turnloom.operators.stats import source_summary
 from turnloom.operators.turns import assign_in_file_order
 from turnloom.schemas import CONVERSATION
 from turnloom.sources import readers, writers
-from turnloom.streaming.ingest import ingest_stream
+from turnloom.streaming.ingest import ingest_stream, read_finished
 
 DOCUMENT = T.StructType(
     [
@@ -127,11 +127,8 @@ def streamed_responses(spark, d):
     run()
     run()
     schema = "custom_id string, status string, scene string, language_code string"
-    return (
-        spark.read.schema(schema)
-        .option("basePath", f"{path}/out")
-        .json(f"{path}/out")
-        .select("language_code", "custom_id", "status", "scene")
+    return read_finished(spark, f"{path}/out", schema).select(
+        "language_code", "custom_id", "status", "scene"
     )
 
 

@@ -37,21 +37,23 @@ def attach_metadata(
 
 
 def prefix_matches(
-    ids: DataFrame, meta: DataFrame, order: str = "line_no", partitions: int | None = None
+    ids: DataFrame,
+    meta: DataFrame,
+    order: str = "line_no",
+    partitions: int | None = None,
+    equal: bool = True,
 ) -> DataFrame:
     """``custom_id`` → ``matched_id``: the first metadata id of which one is a prefix of the other.
 
     Both sides are sorted by id once and merged, range by range; see ``first_prefix_match``.
     """
-    return first_prefix_match(ids, meta, order, "custom_id", partitions)
+    return first_prefix_match(ids, meta, order, "custom_id", partitions, equal)
 
 
 def _by_prefix(ids: DataFrame, meta: DataFrame, order: str) -> DataFrame:
     """Metadata of the prefix match, one row per id that has no metadata of its own."""
     latest = last_metadata(meta, order).drop("first_line")
-    distinct = ids.select("custom_id").distinct()
-    unmatched = lookup_join(distinct, latest.select("custom_id"), "custom_id", "left_anti")
-    matches = prefix_matches(unmatched, meta, order)
+    matches = prefix_matches(ids, meta, order, equal=False)
     return lookup_join(
         matches, latest.withColumnRenamed("custom_id", "matched_id"), "matched_id", "inner"
     )

@@ -28,15 +28,21 @@ _ROWS = 8_192
 
 
 def first_prefix_match(
-    asked: DataFrame, known: DataFrame, order: str, key: str = "custom_id", partitions: int | None = None
+    asked: DataFrame,
+    known: DataFrame,
+    order: str,
+    key: str = "custom_id",
+    partitions: int | None = None,
+    equal: bool = True,
 ) -> DataFrame:
     """``key`` of ``asked`` → ``matched_id``: the first id of ``known`` of which one begins with the other.
 
     First is by ``order`` (a number, text or time; null comes first), then by the id. Ids that are
     null or empty match nothing; repeated ids count once, with their smallest ``order``; ids without
-    a match give no row. Each distinct id is moved twice as a whole, once to be told apart and once
-    into its range. Beside them a range offers its first id once per length of an id left open.
-    ``partitions`` fixes the number of ranges, which is Spark's choice otherwise.
+    a match give no row, nor, without ``equal``, do ids that are known themselves. Each distinct id
+    is moved twice as a whole, once to be told apart and once into its range. Beside them a range
+    offers its first id once per length of an id left open. ``partitions`` fixes the number of
+    ranges, which is Spark's choice otherwise.
     """
     kind = known.schema[order].dataType
     ids = (
@@ -53,6 +59,8 @@ def first_prefix_match(
         .groupBy("id")
         .agg(F.min("line").alias("line"), F.max("known").alias("known"), F.max("asked").alias("asked"))
     )
+    if not equal:
+        ids = ids.withColumn("asked", F.col("asked") & ~F.col("known"))
     ranges = ids.repartitionByRange(partitions, "id") if partitions else ids.repartitionByRange("id")
     found = cut_lineage(ranges.sortWithinPartitions("id").mapInArrow(_scan(kind), _found(kind)))
 
