@@ -209,7 +209,7 @@ def test_token_counts(docs, empty):
 def test_plain_characters_are_cut_alike():
     library = Tokenizer.from_file(BPE).pre_tokenizer
     plain = re.compile(f"[{byte_bpe.PLAIN}]")
-    for c in filter(plain.match, map(chr, range(0x20C0))):
+    for c in filter(plain.match, map(chr, range(0x20000))):
         for text in (f"a{c}b1{c}2 {c} x  {c}{c}-{c}-", f"{c}'s '{c}"):
             cut = [text[a:b] for _, (a, b) in library.pre_tokenize_str(text)]
             assert byte_bpe._cut.findall(text) == cut

@@ -2,8 +2,9 @@
 
 The tokenizers library cuts a text into pre-tokens before it merges, and merges never cross a cut.
 ``Vocabulary`` cuts with the same pattern and asks the library only for pre-tokens it has not
-seen. Texts for which the cut could differ (characters that the two regex engines may class
-differently) and texts that hold the string of an added token go to the library whole.
+seen. Around a character that the two regex engines may class differently the text goes to the
+library from the last blank before it to the next one behind it, and texts that hold the string of
+an added token go there whole.
 """
 
 from __future__ import annotations
@@ -19,16 +20,28 @@ from tokenizers import Tokenizer
 PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
-# Characters that a test holds to be cut alike by both engines.
-PLAIN = r"\t\n\r\x20-\x7e¡-Ɂ‐-‧‰-⁞₠-₿"
+# Characters that a test holds to be cut alike by both engines: blanks, and all others.
+BLANK = r"\t\n\r\x20"
+MARKS = (
+    r"\x21-\x7e¡-Ɂ"
+    r"΄-ΊΌΎ-ΡΣ-ԯא-תؠ-ي٠-٩،؛؟ऄ-हा-्०-९ก-ฺเ-๎"
+    r"\u200d‐-‧‰-⁞₠-₿←-⏿─-⛿✀-➿\ufe0f"
+    r"、-〟ぁ-ゖァ-ヺー一-龥가-힣！-～\U0001f300-\U0001faff"
+)
+PLAIN = BLANK + MARKS
 # Pre-tokens that a worker remembers, and characters cut at a time.
 CACHE = 800_000
 SLICE = 1 << 19
+# The longest piece that a worker remembers; scripts without blanks have long ones.
+REMEMBERED = 64
 
 _cut = regex.compile(PATTERN)
 _odd = re.compile(rf"[^{PLAIN}]")
 _PLAIN_LATIN = bytes(c for c in range(256) if not _odd.match(chr(c)))
 _gap = regex.compile(r"(?<=\S)\s")
+# A blank behind a plain character begins a pre-token for both engines.
+_next_cut = regex.compile(rf"(?<=[{MARKS}])[{BLANK}]")
+_last_cut = regex.compile(rf"(?r)(?<=[{MARKS}])[{BLANK}]")
 
 
 @lru_cache(maxsize=4)
@@ -44,6 +57,24 @@ def is_odd(text: str) -> bool:
         return _odd.search(text) is not None
 
 
+def runs(text: str) -> Iterator[tuple[bool, str]]:
+    """The text in parts that are cut alike alone; true for those that hold an odd character."""
+    start = 0
+    while start < len(text):
+        odd = _odd.search(text, start)
+        if odd is None:
+            yield False, text[start:]
+            return
+        last = _last_cut.search(text, start, odd.start())
+        following = _next_cut.search(text, odd.end())
+        end = following.start() if following else len(text)
+        if last is not None and last.start() > start:
+            yield False, text[start : last.start()]
+            start = last.start()
+        yield True, text[start:end]
+        start = end
+
+
 def slices(text: str) -> Iterator[str]:
     """Parts of ``text`` that are cut alike alone: each begins with white space after a word."""
     start = 0
@@ -72,10 +103,13 @@ class Vocabulary:
     def resolve(self, pieces: list[str]) -> list:
         raise NotImplementedError
 
-    def whole(self, text: str) -> object:
-        """The value of a text that the library takes whole."""
+    def value(self, ids: list[int]) -> object:
+        """The value of a part that the library takes whole, by its ids."""
         raise NotImplementedError
 
+    def whole(self, parts: list[str]) -> list:
+        return [self.value(ids) for ids in self.encode(parts)]
+
     def encode(self, pieces: list[str]) -> list[list[int]]:
         found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [x.ids for x in found]
@@ -84,37 +118,46 @@ class Vocabulary:
         """For each text the values of its pieces, in order; nothing for null."""
         out: list[list] = [[] for _ in texts]
         held: list[tuple[int, list[str]]] = []
+        odd: set[str] = set()
         size = 0
         for i, text in enumerate(texts):
             if not text:
                 continue
-            if is_odd(text) or any(a in text for a in self.added):
-                out[i] = [self.whole(text)]
+            if any(a in text for a in self.added):
+                out[i] = self.whole([text])
                 continue
-            for part in slices(text):
-                held.append((i, pieces(part)))
-                size += len(part)
-                if size > SLICE:
-                    self._fill(out, held)
-                    held, size = [], 0
-        self._fill(out, held)
+            for is_whole, run in runs(text) if is_odd(text) else [(False, text)]:
+                for part in [run] if is_whole else slices(run):
+                    if is_whole:
+                        odd.add(part)
+                    held.append((i, [part] if is_whole else pieces(part)))
+                    size += len(part)
+                    if size > SLICE:
+                        self._fill(out, held, odd)
+                        held, odd, size = [], set(), 0
+        self._fill(out, held, odd)
         return out
 
-    def _fill(self, out: list[list], held: list[tuple[int, list[str]]]) -> None:
+    def _fill(self, out: list[list], held: list[tuple[int, list[str]]], odd: set[str]) -> None:
         found = [list(map(self.memory.get, cut)) for _, cut in held]
         holes = [
             [at for at, value in enumerate(got) if value is None] if None in got else ()
             for got in found
         ]
-        names = list({cut[at] for (_, cut), own in zip(held, holes) for at in own})
+        names = {cut[at] for (_, cut), own in zip(held, holes) for at in own}
         if names:
-            fresh = dict(zip(names, self.resolve(names)))
+            fresh: dict[str, object] = {}
+            for some, values in ((names - odd, self.resolve), (names & odd, self.whole)):
+                listed = list(some)
+                if listed:
+                    fresh.update(zip(listed, values(listed)))
             for (_, cut), got, own in zip(held, found, holes):
                 for at in own:
                     got[at] = fresh[cut[at]]
-            if len(self.memory) + len(fresh) > CACHE:
+            short = {name: value for name, value in fresh.items() if len(name) <= REMEMBERED}
+            if len(self.memory) + len(short) > CACHE:
                 self.memory = {}
-            self.memory.update(fresh)
+            self.memory.update(short)
         for (i, _), got in zip(held, found):
             out[i].extend(got)
 

@@ -242,7 +242,7 @@ class IdBytes(Vocabulary):
                 for i, ids in zip(own[a:b], found):
                     out[i] = ids
         for i, ids in zip(rest, self.encode([pieces[i] for i in rest])):
-            out[i] = array("I", ids).tobytes()
+            out[i] = self.value(ids)
         return out
 
     def _parted(self, text: str, sizes: list[int]) -> list[bytes] | None:
@@ -255,8 +255,8 @@ class IdBytes(Vocabulary):
         raw, ends = ids.tobytes(), (4 * (cuts + 1)).tolist()
         return [raw[a:b] for a, b in zip([0, *ends], ends)]
 
-    def whole(self, text: str) -> bytes:
-        return array("I", self.encode([text])[0]).tobytes()
+    def value(self, ids: list[int]) -> bytes:
+        return array("I", ids).tobytes()
 
 
 def _chains(piece: str) -> bool:

@@ -54,8 +54,8 @@ class Counts(Vocabulary):
         merged = dict(zip(rest, map(len, self.encode(rest))))
         return [sum(merged.get(t, 1) for t in cut) for cut in cuts]
 
-    def whole(self, text: str) -> int:
-        return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
+    def value(self, ids: list[int]) -> int:
+        return len(ids)
 
 
 @lru_cache(maxsize=4)
