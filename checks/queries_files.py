@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -133,18 +134,46 @@ def streamed_responses(spark, d):
 
 
 def _array_files(spark, d, path: str) -> None:
-    """Documents as arrays, one file per source, the elements in several lines."""
+    """Documents as arrays, one file per source, the elements in several lines.
+
+    One task writes a file, line by line; no file is a single value.
+    """
     element = F.to_json(F.struct("doc_id", "lang", "text"))
-    spaced = F.concat(F.lit("\n  "), F.replace(element, F.lit(',"lang"'), F.lit(',\n   "lang"')))
+    spaced = F.concat(F.lit("  "), F.replace(element, F.lit(',"lang"'), F.lit(',\n   "lang"')))
+    folder = F.coalesce(F.nullif("source", F.lit("")), F.lit("__HIVE_DEFAULT_PARTITION__"))
     (
         table(spark, d, "documents")
-        .groupBy("source")
-        .agg(F.concat(F.lit("["), F.array_join(F.collect_list(spaced), ","), F.lit("\n]")).alias("value"))
+        .select(folder.alias("source"), spaced.alias("value"))
+        .repartition("source")
+        .mapInArrow(_in_brackets(), "source string, place long, value string")
+        .select(F.coalesce("source", F.lit("")).alias("source"), "place", "value")
+        .sortWithinPartitions("source", "place")
+        .select("source", "value")
         .write.partitionBy("source")
         .text(path)
     )
 
 
+def _in_brackets():
+    """Lines of one array per source: a comma behind every element but the last."""
+
+    def lines(batches):
+        last, places = {}, {}
+        for batch in batches:
+            out = []
+            for source, value in zip(*(column.to_pylist() for column in batch.columns)):
+                place = places[source] = places.get(source, 0) + 1
+                out.append((source, place, f"{last[source]}," if source in last else "["))
+                last[source] = value
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], ["source", "place", "value"])
+        for source, value in last.items():
+            ends = [(source, places[source] + 1, value), (source, places[source] + 2, "]")]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*ends)], ["source", "place", "value"])
+
+    return lines
+
+
 @query("SELECT doc_id, lang, text FROM documents")
 def json_array(spark, d):
     path = _folder(spark)

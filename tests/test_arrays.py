@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from turnloom.sources import readers, writers
+from turnloom.operators.scale import cut_lineage
+from turnloom.sources import arrays, readers, writers
 from turnloom.sources.arrays import array_elements
 
 TRICKY = [
@@ -94,6 +95,42 @@ def test_a_large_array_is_read_in_parts(spark, tmp_path):
     assert spark.read.option("lineSep", "}").text(str(path)).rdd.getNumPartitions() > 1
 
 
+def test_only_text_at_edges_of_blocks_is_moved(spark, write, tmp_path, monkeypatch):
+    values = {"a": TRICKY * 3, "b": [], "c": [{"n": i} for i in range(40)], "d": [{"only": "}"}]}
+    for name, value in values.items():
+        write(f"some/{name}.json", json.dumps(value))
+    frames = []
+
+    def kept(df):
+        frames.append(df)
+        return cut_lineage(df)
+
+    monkeypatch.setattr(arrays, "cut_lineage", kept)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "301")
+    try:
+        got = items(spark, str(tmp_path / "some"))
+        rows, _ = array_elements(spark, str(tmp_path / "some"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == (expected([v for value in values.values() for v in value]), {})
+    with_text = [df for df in [*frames, rows] if {"_text", "_items", "_item"} & set(df.columns)]
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in with_text]
+    assert plans
+    assert all("_edge" in p for p in plans if "hashpartitioning" in p)
+
+
+def test_files_cut_anew_between_the_passes_fail(spark, write):
+    path = write("anew.json", json.dumps([{"n": i} for i in range(40)]))
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "90")
+        state = arrays._with_state(arrays._chunks(spark, path, "}"), 1)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "130")
+        with pytest.raises(Exception, match="cut anew"):
+            state.select("_quoted", "_level").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_a_tree_keeps_its_folders(spark, write, tmp_path):
     write("in/a.json", '[{"n": 1}, {"n": 2}]')
     write("in/sub/deep er/b.json", '[{"n": 3}]')

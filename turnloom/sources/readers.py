@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from turnloom.functions.response import allow_repeated_keys, strict_json
 from turnloom.schemas import TRIPLE
-from turnloom.sources.arrays import NOT_AN_ARRAY, array_elements
+from turnloom.sources.arrays import NOT_AN_ARRAY, array_elements, pin_splits
 
 _BAD = "_corrupt"
 # A text of this size is still surely below Spark's limit of a variant.
@@ -161,13 +161,6 @@ def language_of(path: Column, lang_from: str = "name") -> Column:
     return F.regexp_extract(path, r"([^/]+)/[^/]+$", 1)
 
 
-def pin_splits(spark: SparkSession) -> None:
-    """Cut small inputs the same in every plan, however many executors there are by then."""
-    name = "spark.sql.files.minPartitionNum"
-    if spark.conf.get(name, None) is None:
-        spark.conf.set(name, str(spark.sparkContext.defaultParallelism))
-
-
 def read_corpus(
     spark: SparkSession, glob: str, schema: T.StructType, lang_from: str = "name"
 ) -> DataFrame:
